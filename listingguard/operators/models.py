@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from listingguard.config import SETTINGS
 from listingguard.functions.exprs import report_round
 from listingguard.operators import features as fe
-from listingguard.operators.metrics import curve, evaluate, long_scores, _curve_metrics
+from listingguard.operators import text as tx
+from listingguard.operators.metrics import _curve_metrics, curve, evaluate, long_scores
 from listingguard.operators.predlog import tier
 from listingguard.operators.splits import expand_folds, with_group_folds
 from listingguard.sources.stage import in_parallel, materialize, work_dir
@@ -147,10 +148,36 @@ def cv_trees(matrix: DataFrame, params: TreeParams, folds: int = SETTINGS.cv_fol
     return cross_validate(matrix, lambda t: fit_trees(t, params, weight), name, folds)
 
 
-def add_text(matrix: DataFrame, text: DataFrame) -> DataFrame:
-    """Matrix with the text vector of each listing appended (``text`` has listing_id, text_svd)."""
-    joined = matrix.join(text, "listing_id").withColumn("x", F.concat("x", "text_svd")).drop("text_svd")
-    return materialize(joined, "fold_matrix_text", ["cv_fold"])
+def add_text(matrix: DataFrame, listings: DataFrame, text: str = "description", folds: int = SETTINGS.cv_folds) -> DataFrame:
+    """Matrix with text features appended; vocabulary and basis come from the training rows of each fold.
+
+    ``listings`` has (listing_id, fold, text).
+    """
+
+    def one(k: int) -> DataFrame:
+        train = listings.where(F.col("fold") != k)
+        model = tx.fit_vocabulary(train, "listing_id", text)
+        weights = materialize(tx.tfidf(train, "listing_id", text, model), "fold_tfidf")
+        model = tx.fit_svd(weights, "listing_id", model)
+        return tx.svd_features(listings, "listing_id", text, model).withColumn("cv_fold", F.lit(k))
+
+    parts = in_parallel(*[lambda k=k: one(k) for k in range(folds)], threads=3)
+    vectors = parts[0]
+    for p in parts[1:]:
+        vectors = vectors.unionByName(p)
+    joined = matrix.join(vectors, ["cv_fold", "listing_id"]).withColumn("x", F.concat("x", "text_svd"))
+    return materialize(joined.select(*matrix.columns), "fold_matrix_text", ["cv_fold"])
+
+
+def fold_metrics(oof: DataFrame, name: str) -> DataFrame:
+    """PR-AUC and recall at 95 % precision of each fold."""
+    keyed = oof.select(F.col("y_true").alias("y"), F.col(name).alias("p"), F.col("fold").cast("string").alias("model"))
+    return _curve_metrics(curve(keyed)).select(
+        F.col("model").cast("int").alias("fold"),
+        report_round("pr_auc", 6).alias("pr_auc"),
+        report_round("recall_at_95p", 6).alias("recall_at_95p"),
+        report_round("roc_auc", 6).alias("roc_auc"),
+    )
 
 
 def oof_table(parts: Sequence[DataFrame]) -> DataFrame:
