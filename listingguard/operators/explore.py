@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from listingguard.config import NUMERIC, SETTINGS
 from listingguard.functions.exprs import cap, flag, parse_date, ratio, report_round, seeded_hash
+from listingguard.operators.lookup import with_scalars
 from listingguard.operators.ordered import exact_quantiles, running_totals
 from listingguard.operators.profile import melt
 from listingguard.operators.validate import quantile_band
@@ -31,7 +32,7 @@ def _national(df: DataFrame, label: str = "is_fraud") -> DataFrame:
 def fraud_by_state(df: DataFrame, min_listings: int = 50, top: int = 30) -> DataFrame:
     rates = rate_by(df, "state", min_listings).orderBy(F.desc("fraud_rate"), "state").limit(top)
     n = F.col("_national")
-    return rates.crossJoin(F.broadcast(_national(df))).select(
+    return with_scalars(rates, _national(df)).select(
         "state",
         "total",
         "fraud",
@@ -49,7 +50,7 @@ def fraud_count_by_state(df: DataFrame, min_listings: int = 50, top: int = 15) -
 
 def fraud_by_city(df: DataFrame, min_listings: int = 200, top: int = 20) -> DataFrame:
     rates = rate_by(df, "city", min_listings).orderBy(F.desc("fraud_rate"), "city").limit(top)
-    return rates.crossJoin(F.broadcast(_national(df))).select(
+    return with_scalars(rates, _national(df)).select(
         "city",
         "total",
         "fraud",

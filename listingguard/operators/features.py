@@ -34,8 +34,13 @@ def feature_names(include_city_rate: bool = True) -> list[str]:
 
 
 def join_scalars(df: DataFrame, table: DataFrame, by: Keys) -> DataFrame:
-    """Attach a table with one row per ``by`` value (one row in all when there is none)."""
-    return df.join(F.broadcast(table), list(by)) if by else df.crossJoin(F.broadcast(table))
+    """Attach fitted scalars: joined by ``by`` (one row per fold), or as literals when there is a single row."""
+    if by:
+        return df.join(F.broadcast(table), list(by))
+    row = table.first()
+    values = row.asDict() if row else {}
+    kinds = dict(table.dtypes)
+    return df.select("*", *[F.lit(values.get(c)).cast(kinds[c]).alias(c) for c in table.columns])
 
 
 def temporal_features(df: DataFrame) -> DataFrame:

@@ -17,6 +17,12 @@ def fits_broadcast(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return table.limit(limit + 1).count() <= limit
 
 
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """``df`` with the columns of a one-row result, read through a scalar subquery instead of a join."""
+    row = one_row.select(F.struct("*")).scalar()
+    return df.withColumn("_one", row).select(*df.columns, *[F.col("_one")[c].alias(c) for c in one_row.columns])
+
+
 def left_lookup(
     big: DataFrame,
     table: DataFrame,

@@ -74,6 +74,9 @@ def fit_trees(
     features: str = "features",
     seed: int = SETTINGS.seed,
 ) -> Model:
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # cuts the lineage that grows with each boosting round
+        context.setCheckpointDir(f"{work_dir(df.sparkSession)}/rounds")
     est = GBTClassifier(
         labelCol=label,
         featuresCol=features,
@@ -116,17 +119,14 @@ def cross_validate(
     fit: Callable[[DataFrame], Model],
     name: str = "p",
     folds: int = SETTINGS.cv_folds,
-    threads: int = 3,
+    threads: int = 5,
 ) -> DataFrame:
     """Out-of-fold scores (listing_id, fold, y_true, name): each fold fitted on its training rows, fits side by side."""
 
     def one(k: int) -> DataFrame:
         fold = matrix.where(F.col("cv_fold") == k)
-        train = with_vector(fold.where("is_train")).select("listing_id", "label", "features").persist()
-        try:
-            model = fit(train)
-        finally:
-            train.unpersist()
+        # The estimators cache their own compact form of the input.
+        model = fit(with_vector(fold.where("is_train")).select("listing_id", "label", "features"))
         scored = probability(model, with_vector(fold.where(~F.col("is_train"))), name)
         return scored.select("listing_id", F.lit(k).alias("fold"), F.col("label").cast("int").alias("y_true"), name)
 
@@ -257,14 +257,9 @@ def fit_scorer(labeled: DataFrame, stack: Stack, params: TreeParams, label: str
     vector = F.array(*[F.col(c).cast("double") for c in fe.feature_names()])
     ready = fe.preprocess(eng.withColumn("label", F.col(label).cast("double")), prep)
     train = materialize(ready.select("listing_id", "label", vector.alias("x")), "train_matrix")
-    train = with_vector(train).persist()
+    train = with_vector(train)
     n, p = _counts(train, "label")
-    try:
-        lr, gbt = in_parallel(
-            lambda: fit_logistic(train), lambda: fit_trees(train, params, scale_pos_weight(n, p))
-        )
-    finally:
-        train.unpersist()
+    lr, gbt = in_parallel(lambda: fit_logistic(train), lambda: fit_trees(train, params, scale_pos_weight(n, p)))
     return Scorer(stats, prep, lr, gbt, stack)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listingguard.config import SETTINGS
 from listingguard.functions.exprs import flag, parse_date, ratio, report_round, risk_tier
+from listingguard.operators.lookup import with_scalars
 from listingguard.operators.ordered import exact_quantiles
 from listingguard.operators.profile import histogram
 
@@ -127,7 +128,7 @@ def score_histogram(log: DataFrame, bins: int = 40) -> DataFrame:
 def register(registry: DataFrame, new: DataFrame) -> DataFrame:
     """Registry after adding one row: a Production row archives the active ones of before and is active itself."""
     production = new.agg(F.max(flag(F.col("stage") == "Production")).alias("_new_production"))
-    old = registry.crossJoin(F.broadcast(production))  # one row
+    old = with_scalars(registry, production)
     replaced = (F.col("_new_production") == 1) & (F.col("stage") == "Production") & F.col("is_active")
     old = old.withColumns(
         {

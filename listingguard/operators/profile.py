@@ -18,6 +18,7 @@ from listingguard.config import (
     TEMPORAL,
 )
 from listingguard.functions.exprs import cap, ratio, report_round, unbiased_skew
+from listingguard.operators.lookup import with_scalars
 from listingguard.operators.ordered import exact_quantiles
 
 
@@ -103,7 +104,7 @@ def price_profile(df: DataFrame) -> DataFrame:
         report_round(F.max("price"), 2).alias("max"),
         report_round(unbiased_skew("price"), 3).alias("skewness"),
     )
-    out = m.crossJoin(F.broadcast(q))  # one row each
+    out = with_scalars(m, q)
     return out.select(
         *m.columns,
         report_round("p50", 2).alias("median"),
@@ -167,7 +168,7 @@ def histogram(
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
     limits = rows.groupBy(*bounds_by).agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"))
     # Ranges: one row per bounds group, of which callers have a fixed few.
-    ranged = rows.join(F.broadcast(limits), list(bounds_by)) if bounds_by else rows.crossJoin(F.broadcast(limits))
+    ranged = rows.join(F.broadcast(limits), list(bounds_by)) if bounds_by else with_scalars(rows, limits)
     width = (F.col("_max") - F.col("_min")) / bins
     binned = ranged.withColumn("_w", width).withColumn(
         "bin",
@@ -175,7 +176,7 @@ def histogram(
     )
     counts = binned.groupBy(*by, "bin", "_min", "_w").agg(F.count(F.lit(1)).alias("n"))
     totals = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
-    joined = counts.join(F.broadcast(totals), list(by)) if by else counts.crossJoin(F.broadcast(totals))
+    joined = counts.join(F.broadcast(totals), list(by)) if by else with_scalars(counts, totals)
     return joined.select(
         *by,
         F.col("bin").cast("bigint").alias("bin"),
@@ -189,7 +190,7 @@ def clipped_column(df: DataFrame, column: str, q: float = 0.99) -> DataFrame:
     """The column clipped above at its quantile, missing values dropped."""
     present = df.where(F.col(column).isNotNull())
     cut = exact_quantiles(present, [], column, {"_cut": q}).select("_cut")
-    return present.crossJoin(F.broadcast(cut)).withColumn(column, cap(column, F.col("_cut"))).drop("_cut")
+    return with_scalars(present, cut).withColumn(column, cap(column, F.col("_cut"))).drop("_cut")
 
 
 def box_stats(df: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFrame:

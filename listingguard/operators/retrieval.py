@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingguard.functions.exprs import report_round, words
-from listingguard.operators.lookup import fits_broadcast
+from listingguard.operators.lookup import fits_broadcast, with_scalars
 from listingguard.sources.stage import materialize
 
 # Words ignored in a query.
@@ -56,7 +56,10 @@ def scores(docs: DataFrame, queries: DataFrame, key: Sequence[str]) -> DataFrame
     pieces = vocabulary.select("token", F.explode(F.array_distinct(grams)).alias("_gram"))
     pairs = pieces.join(_checked(distinct), "_gram").where(F.col("token").contains(F.col("term")))
     pairs = materialize(pairs.select("term", "token").distinct(), "term_tokens")
-    hits = doc_tokens.join(_checked(pairs), "token").select("doc_id", "term").distinct()
+    # Small (document, term) rows are laid out by document once; the pairs grown from them are then counted in place.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = doc_tokens.join(_checked(pairs), "token").select("doc_id", "term")
+    hits = hits.repartition(parts, "doc_id").distinct()
     per_pair = hits.join(_checked(terms), "term").groupBy(*key, "doc_id", "_n").agg(F.count(F.lit(1)).alias("_m"))
     return per_pair.select(*key, "doc_id", report_round(F.col("_m") / F.col("_n"), 4).alias("score"))
 
@@ -68,18 +71,19 @@ def retrieve(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int = 4
     gets every document, which is the asked-for result; those rows are spread over shards of the corpus.
     """
     key = list(key)
-    found = materialize(scores(docs, queries, key), "retrieval_scores")
     order = Window.partitionBy(*key).orderBy(F.desc("score"), "doc_id")
     # Spark keeps only n rows per query and map task before this shuffle.
-    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    best = scores(docs, queries, key).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    best = materialize(best, "retrieval_best")
     matched = best.groupBy(*key).agg(F.max("rank").alias("_found"))
     per_query = materialize(queries.select(*key).join(matched, key, "left"), "retrieval_counts")
     short = per_query.where((F.col("_found") >= 1) & (F.col("_found") < n))
     # At most n - 1 of the first 2n - 1 documents are matched, so these are enough to fill up.
     head = docs.select("doc_id").orderBy("doc_id").limit(2 * n - 1)
     heads = head.agg(F.sort_array(F.collect_list("doc_id")).alias("_head"))
-    fill = short.crossJoin(F.broadcast(heads)).select(*key, "_found", F.explode("_head").alias("doc_id"))
-    fill = fill.join(found.select(*key, "doc_id"), [*key, "doc_id"], "left_anti")
+    fill = with_scalars(short, heads).select(*key, "_found", F.explode("_head").alias("doc_id"))
+    # Such a query has fewer than n matches, so all of them are in ``best``.
+    fill = fill.join(best.select(*key, "doc_id"), [*key, "doc_id"], "left_anti")
     fill_order = Window.partitionBy(*key).orderBy("doc_id")
     fill = fill.withColumn("_i", F.row_number().over(fill_order)).where(F.col("_i") + F.col("_found") <= n)
     filled = fill.select(*key, "doc_id", F.lit(0.0).alias("score"), (F.col("_i") + F.col("_found")).alias("rank"))

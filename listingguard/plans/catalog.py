@@ -914,7 +914,7 @@ def registry_active(spark, d):
 @query("query_terms")
 def query_terms(spark, d):
     terms = re_.query_terms("text")
-    return user_turns(spark, d).select("conv_id", "turn", F.array_join(F.array_sort(terms), " ").alias("terms"), F.size(terms).alias("n_terms"))
+    return user_turns(spark, d).select("conv_id", "turn", F.array_join(F.sort_array(terms), " ").alias("terms"), F.size(terms).alias("n_terms"))
 
 
 @query("doc_relevance")

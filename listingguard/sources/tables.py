@@ -127,7 +127,7 @@ def importance_document(importance: DataFrame, source: str) -> DataFrame:
     """The ten best-ranked rows of an importance table as one corpus document."""
     line = F.concat_ws("  ", F.col("rank").cast("string"), "feature", F.col("mean_impact").cast("string"))
     top = importance.orderBy("rank").limit(10)
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))), lambda r: r["line"])
+    rows = F.transform(F.sort_array(F.collect_list(F.struct("rank", line.alias("line")))), lambda r: r["line"])
     return top.agg(
         F.lit(source).alias("source"),
         F.concat(F.lit("Feature importance (top 10):\n"), F.concat_ws("\n", rows)).alias("content"),

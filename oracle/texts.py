@@ -188,7 +188,7 @@ CTE["lin"] = (
     "FROM lin_long l JOIN lin_stats s ON l.feature = s.feature JOIN beta b ON l.feature = b.feature"
 )
 CTE["lin_ranked"] = (
-    f"SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY {rnd('abs(impact)', 6)} DESC, feature) AS rank FROM lin"
+    f"SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY floor(abs(impact) * 1e6 + 0.5) DESC, feature) AS rank FROM lin"
 )
 CTE["lin_total"] = f"SELECT listing_id, is_fraud, {rnd('sum(impact)', 6)} AS total FROM lin GROUP BY listing_id, is_fraud"
 _TOP = f"""CAST(rank AS int) AS rank, feature, {rnd('impact', 4)} AS impact, {rnd('value', 4)} AS value,
