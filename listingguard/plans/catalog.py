@@ -181,7 +181,7 @@ def ppsf_band(spark, d):
 
 @query("history_filter")
 def history_filter(spark, d):
-    found = pl.history(prediction_log(spark, d), city="CITY_1", state="FRANCE", min_score=0.4)
+    found = pl.history(prediction_log(spark, d), city="CITY_1", state="NATION_1", min_score=0.4)
     return found.select("id", "city", "state", "fraud_score", "risk_tier")
 
 

@@ -119,7 +119,7 @@ def read_corpus(spark: SparkSession, paths: list[str]) -> DataFrame:
             found.append(p)
     if not found:
         return spark.createDataFrame([], "source string, content string")
-    text = spark.read.option("wholetext", True).text(found)
+    text = spark.read.text(found, wholetext=True)
     return text.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("content"))
 
 

@@ -353,7 +353,7 @@ Q["clip_p99"] = "SELECT listing_id, " + ", ".join(
 ) + " FROM listings, (SELECT " + ", ".join(f"quantile_cont({c}, 0.99) AS q_{c}" for c in NUMERIC) + " FROM listings)"
 Q["ppsf_band"] = f"SELECT listing_id, {rnd('ppsf', 6)} AS ppsf FROM ppsf_band"
 Q["history_filter"] = """
-SELECT id, city, state, fraud_score, risk_tier FROM logs WHERE city ILIKE '%CITY_1%' AND state = 'FRANCE' AND fraud_score >= 0.4"""
+SELECT id, city, state, fraud_score, risk_tier FROM logs WHERE city ILIKE '%CITY_1%' AND state = 'NATION_1' AND fraud_score >= 0.4"""
 Q["history_by_id"] = "SELECT id, city, fraud_score, risk_tier FROM logs WHERE id = (SELECT min(id) FROM logs)"
 Q["risk_tiers"] = """
 SELECT listing_id, p_a, CASE WHEN p_a >= 0.7 THEN 'HIGH' WHEN p_a >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier,
