@@ -10,16 +10,13 @@ from pyspark.sql import functions as F
 from listingguard.config import SETTINGS
 from listingguard.functions.exprs import ratio, report_round
 from listingguard.operators.lookup import fits_broadcast
-from listingguard.operators.ordered import exact_quantiles
+from listingguard.operators.ordered import group_quantiles
 
 
 def price_stats(df: DataFrame, by: Sequence[str] = ("city",)) -> DataFrame:
     """Median, sample deviation and count of the price per group; groups without a price have count 0."""
-    by = list(by)
-    named = df.dropna(subset=by)
-    moments = named.groupBy(*by).agg(F.stddev_samp("price").alias("std"), F.count("price").alias("count"))
-    mid = exact_quantiles(named, by, "price", {"median": 0.5}).drop("n")
-    return moments.join(mid, by, "left").select(*by, "median", "std", "count")
+    moments = [F.stddev_samp("price").alias("std"), F.count("price").alias("count")]
+    return group_quantiles(df, by, {"median": ("price", 0.5)}, moments).select(*by, "median", "std", "count")
 
 
 def training_stats(df: DataFrame, by: Sequence[str] = ("city",)) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from listingguard.config import CATEGORICAL, FOLD_DEPENDENT, NUMERIC, SETTINGS, STATELESS, LabelRules
 from listingguard.functions.exprs import flag, parse_date, ratio
 from listingguard.operators.lookup import left_lookup
-from listingguard.operators.ordered import exact_quantiles
+from listingguard.operators.ordered import exact_quantiles, group_quantiles
 from listingguard.operators.profile import melt
 from listingguard.sources.stage import in_parallel, materialize
 
@@ -118,10 +118,11 @@ def fit_features(
     the city rates."""
 
     def city() -> DataFrame:
-        table = city_medians(df, rules, by)
+        extra = [F.count("price").alias("_n")]
         if label:
-            table = table.join(city_rates(df, label, rules, by), [*by, "city"])
-        return materialize(table, "feature_city")
+            extra.append(F.avg(F.col(label).cast("double")).alias("city_fraud_rate"))
+        table = group_quantiles(df, [*by, "city"], {"city_median_price": ("price", 0.5)}, extra)
+        return materialize(table.where(F.col("_n") >= rules.min_city_listings).drop("_n"), "feature_city")
 
     city_t, state_t, zip_t = in_parallel(
         city,

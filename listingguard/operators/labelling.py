@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from listingguard.config import RULES, LabelRules
 from listingguard.functions.exprs import cap, flag, ratio, report_round, zero_to_null
 from listingguard.operators.lookup import left_lookup
-from listingguard.operators.ordered import exact_quantiles
+from listingguard.operators.ordered import exact_quantiles, group_quantiles
 from listingguard.sources.stage import in_parallel, materialize
 
 
@@ -77,19 +77,14 @@ def _clipped(df: DataFrame, price_clip: float, size_clip: float) -> DataFrame:
 
 def city_stats(df: DataFrame, price_clip: float, size_clip: float, rules: LabelRules = LabelRules()) -> DataFrame:
     """Median, sample std and low price-per-sqft quantile of cities with enough priced listings."""
-    clean = _clipped(df, price_clip, size_clip).where(F.col("city").isNotNull())
-    spread = (
-        clean.groupBy("city")
-        .agg(F.count("price").alias("city_listings"), F.stddev_samp("price").alias("city_std"))
-        .where(F.col("city_listings") >= rules.min_city_listings)
+    stats = group_quantiles(
+        _clipped(df, price_clip, size_clip),
+        ["city"],
+        {"city_median": ("price", 0.5), "city_ppsf_low": ("ppsf", rules.price_per_sqft_quantile)},
+        [F.count("price").alias("city_listings"), F.stddev_samp("price").alias("city_std")],
     )
-    long = clean.unpivot(["city"], ["price", "ppsf"], "feature", "value")
-    q = exact_quantiles(long, ["city", "feature"], "value", {"mid": 0.5, "low": rules.price_per_sqft_quantile})
-    wide = q.groupBy("city").agg(
-        F.max(F.when(F.col("feature") == "price", F.col("mid"))).alias("city_median"),
-        F.max(F.when(F.col("feature") == "ppsf", F.col("low"))).alias("city_ppsf_low"),
-    )
-    return spread.join(wide, "city").select("city", "city_median", "city_std", "city_ppsf_low")
+    enough = stats.where(F.col("city_listings") >= rules.min_city_listings)
+    return enough.select("city", "city_median", "city_std", "city_ppsf_low")
 
 
 def state_stats(df: DataFrame, price_clip: float, size_clip: float, rules: LabelRules = LabelRules()) -> DataFrame:

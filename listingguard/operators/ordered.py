@@ -93,6 +93,28 @@ def exact_quantiles(
     )
 
 
+def group_quantiles(
+    df: DataFrame,
+    groups: Sequence[str],
+    wanted: dict[str, tuple[str, float]],
+    extra: Sequence[Column] = (),
+    group_limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """One row per group: the ``extra`` aggregates and, per name, the quantile of a column (null without values).
+
+    Everything comes from one aggregation as long as the largest group, checked first, is not too large.
+    """
+    named = df.dropna(subset=list(groups))
+    if largest_group(named, groups) <= group_limit:
+        cuts = [F.percentile(c, F.lit(float(q))).alias(name) for name, (c, q) in wanted.items()]
+        return named.groupBy(*groups).agg(*extra, *cuts)
+    out = named.groupBy(*groups).agg(*extra) if extra else named.select(*groups).distinct()
+    for column in dict.fromkeys(c for c, _ in wanted.values()):
+        probs = {name: q for name, (c, q) in wanted.items() if c == column}
+        out = out.join(split_quantiles(named, groups, column, probs).drop("n"), list(groups), "left")
+    return out
+
+
 def split_quantiles(
     df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], few_groups: bool = False
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from listingguard.config import LabelRules
 from listingguard.operators import labelling as lab
 from listingguard.operators import retrieval
 from listingguard.operators.lookup import left_lookup
-from listingguard.operators.ordered import exact_quantiles, running_totals, smallest_by_hash, split_quantiles, value_bucket
+from listingguard.operators.ordered import exact_quantiles, group_quantiles, running_totals, smallest_by_hash, split_quantiles, value_bucket
 from listingguard.operators.splits import _spread, group_folds
 from listingguard.plans import catalog
 from listingguard.sources.stage import materialize
@@ -40,6 +40,18 @@ def test_split_quantiles_match_numpy(spark, skewed):
         assert got[g]["n"] == direct[g]["n"] == len(values)
 
 
+def test_group_quantiles_paths_agree(spark, skewed):
+    df = spark.createDataFrame(skewed.astype({"v": object}).where(skewed.notna(), None), "g string, v double")
+    df = df.withColumn("w", F.col("v") * 2)
+    wanted = {"mid": ("v", 0.5), "low": ("w", 0.03)}
+    extra = [F.count("v").alias("n"), F.max("v").alias("top")]
+    a, b = (group_quantiles(df, ["g"], wanted, extra, limit).orderBy("g").collect() for limit in (10**6, 10))
+    assert len(a) == len(b) == 4
+    for x, y in zip(a, b):
+        assert x["g"] == y["g"] and x["n"] == y["n"] and x["top"] == y["top"]
+        assert x["mid"] == pytest.approx(y["mid"]) and x["low"] == pytest.approx(y["low"])
+
+
 def test_buckets_keep_order(spark):
     values = sorted([0.0, 1e-9, 0.5, 1.0, 1.0000001, 3.7, 99.0, 1e6, 2147483600.0, -0.2, -7.0, -1e9])
     df = spark.createDataFrame([(v,) for v in values], "v double").select("v", value_bucket("v").alias("b")).orderBy("v")
