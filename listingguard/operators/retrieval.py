@@ -47,13 +47,14 @@ def scores(docs: DataFrame, queries: DataFrame, key: Sequence[str]) -> DataFrame
     terms = materialize(terms, "query_terms")
     distinct = terms.select("term").distinct().withColumn("_g", F.least(F.length("term"), F.lit(GRAM)))
     distinct = materialize(distinct.withColumn("_gram", F.expr("substring(term, 1, _g)")), "query_grams")
-    doc_tokens = docs.select("doc_id", F.explode(F.array_distinct(words("text"))).alias("token"))
-    vocabulary = doc_tokens.select("token").distinct()
+    # The outer explode spares an inferred filter that would tokenise every text twice.
+    doc_tokens = docs.select("doc_id", F.explode_outer(F.array_distinct(words("text"))).alias("token"))
+    vocabulary = doc_tokens.where(F.col("token").isNotNull()).select("token").distinct()
     grams = F.expr(
         f"flatten(transform(sequence(1, {GRAM}), g -> "
         "transform(sequence(1, length(token)), i -> substring(token, i, g))))"
     )
-    pieces = vocabulary.select("token", F.explode(F.array_distinct(grams)).alias("_gram"))
+    pieces = vocabulary.select("token", F.explode_outer(F.array_distinct(grams)).alias("_gram"))
     pairs = pieces.join(_checked(distinct), "_gram").where(F.col("token").contains(F.col("term")))
     pairs = materialize(pairs.select("term", "token").distinct(), "term_tokens")
     # Small (document, term) rows are laid out by document once; the pairs grown from them are then counted in place.

@@ -355,6 +355,9 @@ Q["ppsf_band"] = f"SELECT listing_id, {rnd('ppsf', 6)} AS ppsf FROM ppsf_band"
 Q["history_filter"] = """
 SELECT id, city, state, fraud_score, risk_tier FROM logs WHERE city ILIKE '%CITY_1%' AND state = 'NATION_1' AND fraud_score >= 0.4"""
 Q["history_by_id"] = "SELECT id, city, fraud_score, risk_tier FROM logs WHERE id = (SELECT min(id) FROM logs)"
+Q["history_display"] = """
+SELECT id, created_at, city, state, CASE WHEN price IS NULL THEN 'N/A' ELSE concat('$', format('{:,}', CAST(round_even(price, 0) AS bigint))) END AS price,
+  fraud_score, risk_tier, concat(format('{:,}', CAST(round_even(latency_ms, 0) AS bigint)), 'ms') AS latency FROM logs"""
 Q["risk_tiers"] = """
 SELECT listing_id, p_a, CASE WHEN p_a >= 0.7 THEN 'HIGH' WHEN p_a >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier,
   p_a >= 0.7 AS is_suspicious FROM scored"""
