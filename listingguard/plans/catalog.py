@@ -85,7 +85,7 @@ def scan_typed(spark, d):
 
 @query("stats_roundtrip")
 def stats_roundtrip(spark, d):
-    path = f"{work_dir(spark)}/stats-roundtrip"
+    path = f"{work_dir(spark)}/stats-{seed_name()}"
     lab.fit_labels(listings(spark, d)).save(path)
     s = lab.LabelStats.load(spark, path)
     none = F.lit(None).cast("double")
@@ -717,7 +717,7 @@ def stream_score_rules(spark, d):
     stats = lab.fit_labels(rows)
     duplicates = materialize(lab.duplicate_keys(rows), "stream_duplicates")
     base = f"{work_dir(spark)}/stream-{seed_name()}"
-    rows.repartition(4).write.parquet(f"{base}/in")
+    rows.write.parquet(f"{base}/in")
     stream = st.read_listing_stream(spark, f"{base}/in", rows.schema, files_per_batch=2)
     st.label_stream(stream, stats, duplicates, f"{base}/out", f"{base}/state").awaitTermination()
     return st.labeled_output(spark, f"{base}/out").select("listing_id", *RULES, "fraud_score", "is_fraud")
