@@ -8,11 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingguard.llm import decontaminate, linespread, mixing, simhash, warcstore
-from listingguard.llm.common import read
+from listingguard.llm import decontaminate, lengths, linespread, mixing, pivots, purisk, simhash, toxicity, warcstore
+from listingguard.llm.common import crc_mod, read
 from listingguard.sources.stage import work_dir
 
 
+def held_out(modulus: int):
+    return (crc_mod(F.col("doc_id"), modulus) == 0).alias("held_out")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out(toxicity.FOLDS), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.drop("did", "rid")
@@ -27,12 +36,25 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_embedding_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = purisk.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out(purisk.FOLDS), "score", (F.col("score") >= purisk.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_dir(spark)}/warc-{uuid.uuid4().hex}"
     warcstore.write(read(spark, sf_dir, "pages"), path)
     return warcstore.summary(warcstore.read(spark, path))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.report(read(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
@@ -51,10 +73,14 @@ FROM w
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_decontamination": op2_decontamination,
         "op3_line_dedup": op3_line_dedup,
         "op5_mixing": op5_mixing,
+        "op6_embedding_pivots": op6_embedding_pivots,
+        "op7_quality": op7_quality,
         "op8_warc": op8_warc,
+        "op9_token_counts": op9_token_counts,
         "op10_simhash": op10_simhash,
     }
 
