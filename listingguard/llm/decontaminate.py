@@ -1,11 +1,12 @@
 """Benchmark decontamination over a positional inverted index.
 
-``postings`` stores (term, document, position) rows of the training text. Terms that no test item has cannot take part in a
-match and get no postings. ``matches`` takes each test window (``n`` consecutive words of an item; a shorter item is one window),
-finds its rarest term by corpus frequency and opens that term's postings: position minus offset gives the diagonals
-on which the item can stand. The lists of the other terms, shifted by their offsets, are intersected on those diagonals only; a run
-of ``n`` matching words is an exact phrase match. ``near_matches`` works on the same lists but asks only that enough
-different terms of a window stand within a span of positions.
+``index`` stores (term, document, position) postings of the training text. For phrases a term is a word with its successor (a next-word
+index; an item of one word has that word as its term), for proximity it is a word. Terms that no test item has cannot take part
+in a match and get no postings. ``matches`` takes each test window (``n`` consecutive words of an item; a shorter item is one
+window), finds its rarest term by corpus frequency and opens that term's postings: position minus offset gives the diagonals on which
+the item can stand. The lists of the other terms, shifted by their offsets, are intersected on those diagonals only; an unbroken run
+of a window's terms is an exact phrase match. ``near_matches`` asks only that enough different words of a window stand within a span
+of positions.
 
 Defined cases: a null or empty text has no words; an item without words has no window; a null item_id is listed as the empty text;
 rows of documents that share an id but not a text are separate rows; repeated rows are each reported; repeated items count
@@ -27,34 +28,47 @@ END = "\x01"
 END_TERM = -1
 
 
-def terms(text: Column) -> Column:
+def split_words(text: Column) -> Column:
     return F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0))
 
 
-def item_words(items: DataFrame) -> DataFrame:
-    """item, q (place in the item), word and n_words, once per item_id and text."""
+def with_next(ws: Column) -> Column:
+    """Each word with its successor; the last one alone."""
+    return F.transform(ws, lambda w, i: F.concat_ws(" ", w, F.get(ws, i + 1)))
+
+
+def item_terms(items: DataFrame, pairs: bool) -> DataFrame:
+    """item_id, item, q (place), word (the term's text), n_terms and extra (words that a term covers beyond its first)."""
+    one = F.size("ws") == 1
+    shown = F.when(one | F.lit(not pairs), F.col("ws")).otherwise(F.slice(with_next(F.col("ws")), 1, F.greatest(F.size("ws") - 1, F.lit(1))))
     return (
-        items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), terms(F.col("text")).alias("ws"))
+        items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), split_words(F.col("text")).alias("ws"))
+        .where(F.size("ws") > 0)
         .distinct()
-        .select("item_id", F.xxhash64("item_id", "ws").alias("item"), F.size("ws").alias("n_words"), F.posexplode("ws").alias("q", "word"))
+        .select("item_id", F.xxhash64("item_id", "ws").alias("item"), F.when(one | F.lit(not pairs), 0).otherwise(1).alias("extra"), shown.alias("ts"))
+        .select("item_id", "item", "extra", F.size("ts").alias("n_terms"), F.posexplode("ts").alias("q", "word"))
     )
 
 
-def postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """term, doc_id, did, rid, pos for each word that ``vocabulary`` (word, term) has, and one end posting per row."""
+def postings(docs: DataFrame, vocabulary: DataFrame, pairs: bool, singles: bool) -> DataFrame:
+    """term, doc_id, did, rid, pos for each term that ``vocabulary`` (word, term) has, and one end posting per row."""
     ends = vocabulary.sparkSession.createDataFrame([(END, END_TERM)], "word string, term long")
     listed = checked_broadcast(vocabulary.unionByName(ends), "vocabulary")
-    return (
-        docs.select("doc_id", *row_key(), F.posexplode(F.array_append(terms(F.col("text")), F.lit(END))).alias("pos", "word"))
-        .join(listed, "word")
-        .select("term", "doc_id", "did", "rid", "pos")
-    )
+    ws = F.col("ws")
+    split = docs.select("doc_id", *row_key(), split_words(F.col("text")).alias("ws"))
+
+    def kept(terms: Column) -> DataFrame:
+        placed = split.select("doc_id", "did", "rid", F.posexplode(terms).alias("pos", "word"))
+        return placed.join(listed, "word").select("term", "doc_id", "did", "rid", "pos")
+
+    stored = kept(F.array_append(with_next(ws) if pairs else ws, F.lit(END)))
+    return stored.unionByName(kept(ws)) if pairs and singles else stored
 
 
 def anchors(items: DataFrame, frequency: DataFrame, n: int) -> DataFrame:
     """item, q, term: for each window of each item its rarest term; windows with a term that no document has are left out."""
     known = items.join(frequency, "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
-    starts = F.sequence(F.greatest(F.lit(0), F.col("q") - F.lit(n - 1)), F.least(F.col("q"), F.greatest(F.col("n_words") - n, F.lit(0))))
+    starts = F.sequence(F.greatest(F.lit(0), F.col("q") - F.lit(n - 1)), F.least(F.col("q"), F.greatest(F.col("n_terms") - n, F.lit(0))))
     return (
         known.withColumn("start", F.explode(starts))
         .groupBy("item", "start")
@@ -65,18 +79,23 @@ def anchors(items: DataFrame, frequency: DataFrame, n: int) -> DataFrame:
     )
 
 
-def index(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The stored postings, and the items' words with their terms (item_id, item, n_words, q, term)."""
-    placed = materialize(item_words(items), "item_words")
+def index(docs: DataFrame, items: DataFrame, pairs: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The stored postings, and the items' terms (item_id, item, extra, n_terms, q, term)."""
+    placed = materialize(item_terms(items, pairs), "item_terms")
     vocabulary = materialize(placed.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "terms")
+    singles = bool(placed.where("extra = 0").head(1))
     return (
-        materialize(postings(docs, vocabulary), "postings"),
-        materialize(placed.join(vocabulary, "word").drop("word"), "item_terms"),
+        materialize(postings(docs, vocabulary, pairs, singles), "postings"),
+        materialize(placed.join(vocabulary, "word").drop("word"), "item_places"),
     )
 
 
 def matches(stored: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """did, rid, item_id, first, last: the word positions of every maximal run that holds a window of the item."""
+    """did, rid, item_id, first, last: the word positions of every maximal run that holds a window of the item.
+
+    Takes an index with pairs.
+    """
+    n = max(1, n - 1)  # terms of a window of n words
     frequency = stored.where(F.col("term") >= 0).groupBy("term").agg(F.count("*").alias("cf"))
     rare = checked_broadcast(anchors(items, frequency, n), "anchors")
     shifted = (
@@ -84,7 +103,7 @@ def matches(stored: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     )
     candidates = materialize(shifted, "diagonals")
     wanted = candidates.join(
-        checked_broadcast(items.select("item", "q", "term").distinct(), "item_places"), "item"
+        checked_broadcast(items.select("item", "q", "term").distinct(), "item_diagonals"), "item"
     ).select("did", "rid", "term", (F.col("diagonal") + F.col("q")).alias("pos"), "item", "diagonal", "q")
     there = stored.join(candidates.select("did", "rid").distinct(), ["did", "rid"], "left_semi").select("did", "rid", "term", "pos")
     qs = F.array_sort(F.collect_set("q"))
@@ -96,11 +115,11 @@ def matches(stored: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
         .groupBy("did", "rid", "item", "diagonal", "x.run")
         .agg(F.min("x.q").alias("a"), F.max("x.q").alias("b"))
     )
-    names = checked_broadcast(items.select("item", "item_id", "n_words").distinct(), "item_names")
+    names = checked_broadcast(items.select("item", "item_id", "n_terms", "extra").distinct(), "item_names")
     return (
         runs.join(names, "item")
-        .where(F.col("b") - F.col("a") + 1 >= F.least(F.lit(n), F.col("n_words")))
-        .select("did", "rid", "item_id", (F.col("diagonal") + F.col("a")).alias("first"), (F.col("diagonal") + F.col("b")).alias("last"))
+        .where(F.col("b") - F.col("a") + 1 >= F.least(F.lit(n), F.col("n_terms")))
+        .select("did", "rid", "item_id", (F.col("diagonal") + F.col("a")).alias("first"), (F.col("diagonal") + F.col("b") + F.col("extra")).alias("last"))
     )
 
 
@@ -108,7 +127,7 @@ def near_matches(stored: DataFrame, items: DataFrame, n: int = WINDOW, share: fl
     """did, rid, item_id, cell: documents where ``share`` of a window's terms or more stand within n + slack positions, in any order.
 
     Positions are cut into cells of n + slack that overlap by half, so a match in any span of (n + slack) / 2 is found whole.
-    Opens only the postings of the items' terms.
+    Takes an index without pairs.
     """
     span = n + slack
     half = span // 2
@@ -150,9 +169,9 @@ def report(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without a window of any item."""
-    bad = report(docs, items, n).where("contaminated").select(F.col("did").alias("_did"), F.col("rid").alias("_rid")).distinct()
+    bad = report(docs, items, n).where("contaminated").select(F.col("did").alias("_llm_did"), F.col("rid").alias("_llm_rid")).distinct()
     did, rid = row_key()
-    return docs.join(bad, (did == F.col("_did")) & (rid == F.col("_rid")), "left_anti")
+    return docs.join(bad, (did == F.col("_llm_did")) & (rid == F.col("_llm_rid")), "left_anti")
 
 
 SQL = f"""
