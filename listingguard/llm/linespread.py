@@ -74,16 +74,16 @@ def removals(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_W
 
 def apply(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, site: str = "source") -> DataFrame:
     """``docs`` with the remaining lines as ``text``, plus n_lines and n_removed."""
-    cut = removals(docs, min_sites, min_words, site).withColumnsRenamed({"did": "_did", "rid": "_rid", "gone": "_gone"})
+    cut = removals(docs, min_sites, min_words, site).withColumnsRenamed({"did": "_llm_did", "rid": "_llm_rid", "gone": "_llm_gone"})
     did, rid = row_keys()
     parts = F.split("text", "\n")
-    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("_gone", i)), "\n")
+    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("_llm_gone", i)), "\n")
     return (
-        docs.join(cut, (did == F.col("_did")) & (rid == F.col("_rid")), "left")
+        docs.join(cut, (did == F.col("_llm_did")) & (rid == F.col("_llm_rid")), "left")
         .withColumn("n_lines", F.coalesce(F.size(parts), F.lit(0)).cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
-        .drop("_did", "_rid", "_gone")
+        .withColumn("n_removed", F.coalesce(F.size("_llm_gone"), F.lit(0)).cast("long"))
+        .withColumn("text", F.when(F.col("_llm_gone").isNull(), F.col("text")).otherwise(kept))
+        .drop("_llm_did", "_llm_rid", "_llm_gone")
     )
 
 

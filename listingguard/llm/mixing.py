@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listingguard.llm.common import SPACE_WORD
+from listingguard.llm.common import SPACE_WORD, row_key
 from listingguard.sources.stage import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -71,11 +71,12 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, quality: Column | None = None) -> DataFrame:
-    """doc_id, source, size, quality, source_size, target, taken: the words of each document that the mix takes."""
+    """doc_id, did, rid, source, size, quality, source_size, target, taken: the words of each document that the mix takes."""
     text = F.col("text")
     sized = materialize(
         docs.select(
             F.col("doc_id"),
+            *row_key(),
             F.col("source"),
             size_of(text).alias("size"),
             (quality_of(text) if quality is None else F.greatest(F.coalesce(quality, F.lit(0.0)), F.lit(1e-6))).alias("quality"),
@@ -109,12 +110,29 @@ def taken(sized: DataFrame, targets: DataFrame) -> DataFrame:
         .join(offsets, F.col("src").eqNullSafe(F.col("source")) & (F.col("b") == F.col("bucket")))
         .withColumn("prefix", F.col("before") + F.col("offset"))
         .select(
-            "doc_id", "source", "size", "quality", F.col("source_size"), F.col("target"),
+            "doc_id", "did", "rid", "source", "size", "quality", F.col("source_size"), F.col("target"),
             (F.col("whole") * F.col("size") + part).cast("long").alias("taken"),
         )
     )
 
 
+def apply(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, quality: Column | None = None) -> DataFrame:
+    """The documents of which the mix takes words, with ``taken``; equal rows are one row with their words together."""
+    words = (
+        mix(docs, weights, share, epochs, quality)
+        .groupBy(F.col("did").alias("_llm_did"), F.col("rid").alias("_llm_rid")).agg(F.sum("taken").alias("_llm_taken"))
+        .where(F.col("_llm_taken") > 0)
+    )
+    did, rid = row_key()
+    return (
+        docs.withColumns({"_llm_did": did, "_llm_rid": rid})
+        .join(words, ["_llm_did", "_llm_rid"])
+        .dropDuplicates(["_llm_did", "_llm_rid"])
+        .withColumn("taken", F.col("_llm_taken"))
+        .drop("_llm_did", "_llm_rid", "_llm_taken")
+    )
+
+
 SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,

@@ -199,6 +199,6 @@ def score(docs: DataFrame, labels: DataFrame, held_out: int | None = HELD_OUT) -
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, held_out: int | None = HELD_OUT) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more."""
     low = score(docs, labels, held_out).where(F.col("score") < threshold)
-    low = low.select(F.col("did").alias("_did"), F.col("rid").alias("_rid")).distinct()
+    low = low.select(F.col("did").alias("_llm_did"), F.col("rid").alias("_llm_rid")).distinct()
     did, rid = row_key()
-    return docs.join(low, (did == F.col("_did")) & (rid == F.col("_rid")), "left_anti")
+    return docs.join(low, (did == F.col("_llm_did")) & (rid == F.col("_llm_rid")), "left_anti")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingguard.llm import decontaminate, lengths, linespread, mixing, pivots, purisk, simhash, toxicity, warcstore
+from listingguard.llm import decontaminate, katz, lengths, linespread, mixing, pivots, purisk, simhash, toxicity, warcstore
 from listingguard.llm.common import crc_mod, read
 from listingguard.sources.stage import work_dir
 
@@ -32,6 +33,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = katz.held_out_score(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -60,6 +66,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 OP8_SQL = f"""
 WITH p AS (
   SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
@@ -73,9 +83,11 @@ FROM w
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": pipeline,
         "op1_toxicity": op1_toxicity,
         "op2_decontamination": op2_decontamination,
         "op3_line_dedup": op3_line_dedup,
+        "op4_katz": op4_katz,
         "op5_mixing": op5_mixing,
         "op6_embedding_pivots": op6_embedding_pivots,
         "op7_quality": op7_quality,

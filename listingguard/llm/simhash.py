@@ -191,13 +191,13 @@ def links(distinct: DataFrame, most: int = MAX_BITS) -> DataFrame:
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
-    """doc_id, did, rid, fp and component_id (the smallest doc_id of the class) of every row."""
+    """doc_id, did, rid, fp, root (a fingerprint that names the class) and component_id (its smallest doc_id) of every row."""
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
     roots = materialize(components(materialize(links(distinct.select("fp"), most), "fingerprint_links")), "fingerprint_roots")
     owned = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = owned.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = materialize(owned.join(smallest, "root").select("fp", "component_id"), "fingerprint_classes")
+    by_print = materialize(owned.join(smallest, "root").select("fp", "root", "component_id"), "fingerprint_classes")
     return prints.join(by_print, "fp")
 
 
@@ -205,16 +205,16 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> Data
     """One row of ``docs`` per class: that with the smallest doc_id."""
     found = classes(docs, shingle, most)
     first = (
-        found.groupBy("component_id", F.col("component_id").isNull().alias("none"))
+        found.groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "did", "rid")).alias("x"))
-        .select(F.col("x.did").alias("_did"), F.col("x.rid").alias("_rid"))
+        .select(F.col("x.did").alias("_llm_did"), F.col("x.rid").alias("_llm_rid"))
     )
     did, rid = row_key()
     return (
-        docs.withColumns({"_did": did, "_rid": rid})
-        .join(first, ["_did", "_rid"], "left_semi")
-        .dropDuplicates(["_did", "_rid"])
-        .drop("_did", "_rid")
+        docs.withColumns({"_llm_did": did, "_llm_rid": rid})
+        .join(first, ["_llm_did", "_llm_rid"], "left_semi")
+        .dropDuplicates(["_llm_did", "_llm_rid"])
+        .drop("_llm_did", "_llm_rid")
     )
 
 
