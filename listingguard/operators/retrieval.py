@@ -18,9 +18,45 @@ from listingguard.sources.stage import materialize
 
 # Words ignored in a query.
 STOP_WORDS = (
-    "the is at which on a an and or but in with to for of as by what why how "
-    "this that these those be was were are do does did can could should would i you it"
-).split()
+    "the",
+    "is",
+    "at",
+    "which",
+    "on",
+    "a",
+    "an",
+    "and",
+    "or",
+    "but",
+    "in",
+    "with",
+    "to",
+    "for",
+    "of",
+    "as",
+    "by",
+    "what",
+    "why",
+    "how",
+    "this",
+    "that",
+    "these",
+    "those",
+    "be",
+    "was",
+    "were",
+    "are",
+    "do",
+    "does",
+    "did",
+    "can",
+    "could",
+    "should",
+    "would",
+    "i",
+    "you",
+    "it",
+)
 
 GRAM = 3
 FALLBACK_SHARDS = 64

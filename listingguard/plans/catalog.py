@@ -419,6 +419,11 @@ for _name, _fn in {
 
 @query("fraud_by_city")
 def fraud_by_city(spark, d):
+    return eda.fraud_by_city(labeled(spark, d))
+
+
+@query("fraud_by_small_city")
+def fraud_by_small_city(spark, d):
     return eda.fraud_by_city(labeled(spark, d), min_listings=40)
 
 
@@ -434,11 +439,16 @@ def mann_whitney(spark, d):
 
 @query("mann_whitney_p")
 def mann_whitney_p(spark, d):
-    return eda.mann_whitney(labeled(spark, d)).select("feature", "p_value", "significant")
+    return eda.mann_whitney(labeled(spark, d)).select("feature", report_round("p_value", 8).alias("p_value"), "significant")
 
 
 @query("ppsf_top_cities")
 def ppsf_top_cities(spark, d):
+    return eda.ppsf_top_cities(labeled(spark, d))
+
+
+@query("ppsf_top_small_cities")
+def ppsf_top_small_cities(spark, d):
     return eda.ppsf_top_cities(labeled(spark, d), min_listings=30)
 
 
@@ -556,7 +566,7 @@ def tfidf_weights(spark, d):
 @query("tfidf_documents")
 def tfidf_documents(spark, d):
     docs = documents(spark, d)
-    model = tx.fit_vocabulary(docs, "doc_id", "text", max_features=500)
+    model = tx.fit_vocabulary(docs, "doc_id", "text")
     return tx.tfidf(docs, "doc_id", "text", model).select("doc_id", "term", report_round("weight", 6).alias("weight"))
 
 
@@ -807,8 +817,15 @@ def explain_insights(spark, d):
 
 @query("explanation_json")
 def explanation_json(spark, d):
+    """The stored JSON of the three strongest features, read back."""
     top = ex.top_features(linear_explained(spark, d)).select("listing_id", ex.to_json("top").alias("shap_top3"))
-    return top.withColumn("features", F.transform(ex.from_json("shap_top3"), lambda e: e["feature"]))
+    return top.select("listing_id", F.posexplode(ex.from_json("shap_top3")).alias("at", "e")).select(
+        "listing_id",
+        "e.feature",
+        report_round("e.value", 4).alias("value"),
+        report_round("e.impact", 4).alias("impact"),
+        (F.col("at") + 1).alias("rank"),
+    )
 
 
 @query("gbt_contributions")
@@ -827,7 +844,8 @@ def drift_current(spark, d):
 
 
 def _drifted(spark, d):
-    return dr.detect(dr.price_stats(_after(spark, d)), dr.training_stats(_before(spark, d)))
+    base = materialize(dr.training_stats(_before(spark, d)), "drift_baseline")
+    return dr.detect(dr.price_stats(_after(spark, d)), base)
 
 
 @query("drift_cities")
@@ -840,11 +858,20 @@ def drift_report(spark, d):
     return dr.report(_drifted(spark, d))
 
 
+def _monthly(spark, d, place):
+    dated = _after(spark, d).withColumn("month", F.date_format("sold", "yyyy-MM"))
+    base = materialize(dr.training_stats(_before(spark, d), [place]), "drift_baseline")
+    return dr.monthly(dated, base, place)
+
+
 @query("drift_by_month")
 def drift_by_month(spark, d):
-    # Months hold too few listings per city on small inputs; the state is the place here.
-    dated = _after(spark, d).withColumn("month", F.date_format("sold", "yyyy-MM"))
-    return dr.monthly(dated, dr.training_stats(_before(spark, d), ["state"]), "state")
+    return _monthly(spark, d, "city")
+
+
+@query("drift_by_month_and_state")
+def drift_by_month_and_state(spark, d):
+    return _monthly(spark, d, "state")
 
 
 # ---- log and registry -------------------------------------------------------------------------------------------

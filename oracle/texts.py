@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from listingguard.config import BASE_COLUMNS, CATEGORICAL, DEDUP_KEY, FOLD_DEPENDENT, LISTING_TYPES, NUMERIC, RULES, STATELESS
+from listingguard.operators.explore import ERFC
 from listingguard.operators.retrieval import STOP_WORDS
 from listingguard.plans.catalog import FOLD_OUT, LINEAR_BETA, PREP_COLUMNS
 from listingguard.sources.tables import LISTINGS_SQL, SCORED_SQL
@@ -213,12 +214,13 @@ SELECT n.city, {rnd('b.median', 2)} AS baseline_median, {rnd('n.median', 2)} AS
   CASE WHEN n.median > b.median THEN 'UP' ELSE 'DOWN' END AS direction, n.count AS current_count
 FROM drift_now n JOIN drift_base b ON n.city = b.city
 WHERE n.count >= 10 AND b.median <> 0 AND abs(n.median - b.median) / b.median > 0.20"""
-CTE["base_state"] = "SELECT state, median(price) AS median FROM before GROUP BY state HAVING count(price) > 0"
 CTE["month_rows"] = "SELECT *, strftime(sold, '%Y-%m') AS month FROM after"
-CTE["month_now"] = "SELECT month, state, median(price) AS median, count(price) AS n FROM month_rows GROUP BY month, state"
-CTE["month_drift"] = f"""
-SELECT month, n.state, n.median > b.median AS up, {rnd('abs(n.median - b.median) / b.median * 100', 1)} AS pct
-FROM month_now n JOIN base_state b ON n.state = b.state
+for _place in ("city", "state"):
+    CTE[f"base_{_place}"] = f"SELECT {_place}, median(price) AS median FROM before GROUP BY {_place} HAVING count(price) > 0"
+    CTE[f"month_now_{_place}"] = f"SELECT month, {_place}, median(price) AS median, count(price) AS n FROM month_rows GROUP BY month, {_place}"
+    CTE[f"month_drift_{_place}"] = f"""
+SELECT month, n.{_place}, n.median > b.median AS up, {rnd('abs(n.median - b.median) / b.median * 100', 1)} AS pct
+FROM month_now_{_place} n JOIN base_{_place} b ON n.{_place} = b.{_place}
 WHERE n >= 10 AND b.median <> 0 AND abs(n.median - b.median) / b.median > 0.20"""
 
 # Retrieval CTEs.
@@ -256,7 +258,7 @@ FROM {p}tf t JOIN {p}vocab v ON t.term = v.term""",
 
 
 CTE.update(_tfidf_ctes("d_", "listings", "listing_id", "description", 5000))
-CTE.update(_tfidf_ctes("t_", "documents", "doc_id", "text", 500))
+CTE.update(_tfidf_ctes("t_", "documents", "doc_id", "text", 5000))
 
 # Out-of-fold CTEs: every row once per fold, statistics from the other folds.
 CTE["fold_rows"] = "SELECT l.*, s.fold FROM labeled l JOIN scored s ON l.listing_id = s.listing_id"
@@ -287,6 +289,21 @@ UNION ALL SELECT 6, TIMESTAMP '2024-02-01', 'strong', '2.0.0', 'Production', {rn
 FROM areas WHERE model = 'p_a'"""
 
 
+# Grouped folds: the largest group first, each to the lightest fold; groups of one size go to the folds in hash order.
+CTE["deal_sizes"] = "SELECT coalesce(city, '__unknown__') AS city, count(*) AS group_size FROM listings GROUP BY 1"
+CTE["deal_queue"] = "SELECT group_size, row_number() OVER (ORDER BY group_size DESC) AS i FROM deal_sizes"
+CTE["dealt"] = """
+SELECT CAST(0 AS bigint) AS i, CAST(0 AS bigint) AS group_size, CAST(-1 AS bigint) AS fold, [CAST(0 AS bigint), 0, 0, 0, 0] AS loads
+UNION ALL
+SELECT q.i, q.group_size, list_position(d.loads, list_min(d.loads)) - 1,
+  list_transform(d.loads, lambda x, k: CASE WHEN k = list_position(d.loads, list_min(d.loads)) THEN x + q.group_size ELSE x END)
+FROM dealt d JOIN deal_queue q ON q.i = d.i + 1"""
+CTE["deal_runs"] = """
+SELECT group_size, fold, CAST(sum(count(*)) OVER (PARTITION BY group_size ORDER BY fold) AS bigint) AS until, count(*) AS n
+FROM dealt WHERE i > 0 GROUP BY group_size, fold"""
+CTE["deal_ranked"] = "SELECT *, row_number() OVER (PARTITION BY group_size ORDER BY md5(city), city) AS rk FROM deal_sizes"
+
+
 def with_ctes(body: str) -> str:
     """Prefix ``body`` with the CTEs it refers to, directly or through others."""
     import re
@@ -301,7 +318,7 @@ def with_ctes(body: str) -> str:
             need.add(name)
             todo |= refs(CTE[name]) - need - {name}
     parts = [f"{n} AS ({CTE[n].strip()})" for n in CTE if n in need]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body.strip()
+    return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body.strip()
 
 
 Q: dict[str, str] = {}
@@ -321,10 +338,11 @@ Q["drift_report"] = """
 SELECT count(*) AS drifted, count(*) > 5 AS retrain_recommended, first(city ORDER BY pct_change DESC, city) AS max_drift_place,
   coalesce(max(pct_change), 0.0) AS max_drift_pct, count(*) FILTER (direction = 'UP') AS places_up,
   count(*) FILTER (direction = 'DOWN') AS places_down FROM drifted"""
-Q["drift_by_month"] = """
-SELECT m.month, count(d.state) AS drifted, count(*) FILTER (up) AS places_up, count(*) FILTER (NOT up) AS places_down,
-  coalesce(max(pct), 0.0) AS max_drift_pct, count(d.state) > 5 AS retrain_recommended
-FROM (SELECT DISTINCT month FROM month_rows) m LEFT JOIN month_drift d ON m.month = d.month GROUP BY m.month"""
+for _name, _place in (("drift_by_month", "city"), ("drift_by_month_and_state", "state")):
+    Q[_name] = f"""
+SELECT m.month, count(d.{_place}) AS drifted, count(*) FILTER (up) AS places_up, count(*) FILTER (NOT up) AS places_down,
+  coalesce(max(pct), 0.0) AS max_drift_pct, count(d.{_place}) > 5 AS retrain_recommended
+FROM (SELECT DISTINCT month FROM month_rows) m LEFT JOIN month_drift_{_place} d ON m.month = d.month GROUP BY m.month"""
 Q["prediction_log_rows"] = "SELECT * FROM logs"
 Q["corpus_load"] = "SELECT concat_ws('/', source, CAST(doc_id AS string)) AS source, text AS content FROM documents"
 Q["model_projection"] = "SELECT " + ", ".join(c for c in LISTING_TYPES if c not in ("street", "brokered_by")) + ", is_fraud FROM labeled"
@@ -502,7 +520,8 @@ FROM ({_rate('state', 50)}), {_NAT} ORDER BY r DESC, state LIMIT 30"""
 Q["fraud_count_by_state"] = f"SELECT state, total, fraud, {rnd('r', 4)} AS fraud_rate FROM ({_rate('state', 50)}) ORDER BY fraud DESC, state LIMIT 15"
 Q["fraud_by_city"] = f"""
 SELECT city, total, fraud, {rnd('r', 4)} AS fraud_rate, CASE WHEN r > nat * 2 THEN 'far_above' ELSE 'high' END AS level
-FROM ({_rate('city', 40)}), {_NAT} ORDER BY r DESC, city LIMIT 20"""
+FROM ({_rate('city', 200)}), {_NAT} ORDER BY r DESC, city LIMIT 20"""
+Q["fraud_by_small_city"] = Q["fraud_by_city"].replace(_rate("city", 200), _rate("city", 40))
 Q["fraud_by_status"] = f"SELECT status, total, fraud, {rnd('r', 4)} AS fraud_rate FROM ({_rate('status', 0)})"
 Q["fraud_by_sold_year"] = f"""
 SELECT sold_year, total, fraud, {rnd('r', 4)} AS fraud_rate FROM ({_rate('sold_year', 100,
@@ -536,9 +555,24 @@ SELECT feature, {rnd('max(f)', 2)} AS fraud_median, {rnd('max(m)', 2)} AS normal
 FROM (SELECT feature, is_fraud, rank() OVER (PARTITION BY feature ORDER BY v) + (count(*) OVER (PARTITION BY feature, v) - 1) / 2.0 AS rk,
   median(v) FILTER (is_fraud = 1) OVER (PARTITION BY feature) AS f, median(v) FILTER (is_fraud = 0) OVER (PARTITION BY feature) AS m
   FROM lab_melted WHERE v IS NOT NULL) GROUP BY feature"""
+_T = "(1.0 / (1.0 + 0.5 * x))"
+_POLY = "0.0"
+for _c in reversed(ERFC):
+    _POLY = f"({_POLY} * {_T} + ({_c}))"
+Q["mann_whitney_p"] = f"""
+SELECT feature, {rnd('p', 8)} AS p_value, p < 0.05 AS significant FROM (
+  SELECT feature, least({_T} * exp({_POLY} - x * x), 1.0) AS p FROM (
+    SELECT feature, coalesce(greatest(abs(u - m1 * m0 / 2.0) - 0.5, 0.0)
+      / nullif(sqrt(greatest(m1 * m0 / 12.0 * ((m1 + m0 + 1) - coalesce(ties / nullif((m1 + m0) * (m1 + m0 - 1), 0), 0.0)), 0.0)), 0), 0.0) / sqrt(2.0) AS x
+    FROM (SELECT feature, CAST(count(*) FILTER (is_fraud = 1) AS double) AS m1, CAST(count(*) FILTER (is_fraud = 0) AS double) AS m0,
+        sum(rk) FILTER (is_fraud = 1) - count(*) FILTER (is_fraud = 1) * (count(*) FILTER (is_fraud = 1) + 1) / 2.0 AS u,
+        sum(same * same - 1) AS ties
+      FROM (SELECT feature, is_fraud, rank() OVER (PARTITION BY feature ORDER BY v) + (count(*) OVER (PARTITION BY feature, v) - 1) / 2.0 AS rk,
+          CAST(count(*) OVER (PARTITION BY feature, v) AS double) AS same FROM lab_melted WHERE v IS NOT NULL) GROUP BY feature)))"""
 Q["ppsf_top_cities"] = f"""
 SELECT city, {rnd('median(ppsf)', 4)} AS median_ppsf, count(*) AS listings FROM ppsf_band WHERE city IS NOT NULL
-GROUP BY city HAVING count(*) >= 30 ORDER BY median(ppsf) DESC, city LIMIT 20"""
+GROUP BY city HAVING count(*) >= 100 ORDER BY median(ppsf) DESC, city LIMIT 20"""
+Q["ppsf_top_small_cities"] = Q["ppsf_top_cities"].replace(">= 100", ">= 30")
 Q["scatter_sample"] = f"""
 SELECT listing_id, is_fraud, {rnd('ln(1 + greatest(price, 0))', 6)} AS log_price, {rnd('ln(1 + greatest(house_size, 0))', 6)} AS log_size
 FROM labeled WHERE price IS NOT NULL AND house_size IS NOT NULL ORDER BY md5(concat_ws('|', listing_id, '42')) LIMIT 8000"""
@@ -601,6 +635,9 @@ Q["feature_matrix"] = "SELECT listing_id, " + ", ".join(
 ) + """, CAST(a.code AS double) AS status, CAST(b.code AS double) AS state FROM full_filled f CROSS JOIN full_moments
 JOIN (SELECT status, row_number() OVER (ORDER BY status) - 1 AS code FROM (SELECT DISTINCT status FROM listings)) a ON f.status = a.status
 JOIN (SELECT state, row_number() OVER (ORDER BY state) - 1 AS code FROM (SELECT DISTINCT state FROM listings)) b ON f.state = b.state"""
+Q["group_folds"] = """
+SELECT s.city, s.group_size, CAST(r.fold AS int) AS fold FROM deal_ranked s
+JOIN deal_runs r ON s.group_size = r.group_size AND s.rk <= r.until AND s.rk > r.until - r.n"""
 Q["tfidf_weights"] = f"SELECT listing_id, term, {rnd('w / sqrt(sum(w * w) OVER (PARTITION BY listing_id))', 6)} AS weight FROM d_weights"
 Q["tfidf_documents"] = f"SELECT doc_id, term, {rnd('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))', 6)} AS weight FROM t_weights"
 Q["text_disabled_zeros"] = "SELECT listing_id, CAST(50 AS int) AS dims, CAST(0 AS double) AS total FROM listings"
@@ -661,8 +698,10 @@ SELECT side, listing_id, total, {_TOP} FROM lin_ranked r JOIN (
   (SELECT 'fraud' AS side, listing_id AS i, total FROM lin_total WHERE is_fraud = 1 ORDER BY total DESC, listing_id LIMIT 1) UNION ALL
   (SELECT 'normal', listing_id, total FROM lin_total WHERE is_fraud = 0 ORDER BY total, listing_id LIMIT 1)) ON listing_id = i WHERE rank <= 10"""
 Q["dependence_points"] = f"""
-SELECT a.listing_id, a.is_fraud, {rnd('a.value', 6)} AS value, {rnd('a.impact', 6)} AS impact, {rnd('b.value', 6)} AS interaction_value
-FROM lin a JOIN lin b ON a.listing_id = b.listing_id WHERE a.feature = 'price_log' AND b.feature = 'house_size_log'"""
+SELECT listing_id, any_value(is_fraud) AS is_fraud, {rnd("max(value) FILTER (feature = 'price_log')", 6)} AS value,
+  {rnd("max(impact) FILTER (feature = 'price_log')", 6)} AS impact, {rnd("max(value) FILTER (feature = 'house_size_log')", 6)} AS interaction_value
+FROM lin WHERE feature IN ('price_log', 'house_size_log') GROUP BY listing_id"""
+Q["explanation_json"] = f"SELECT listing_id, feature, {rnd('value', 4)} AS value, {rnd('impact', 4)} AS impact, CAST(rank AS int) AS rank FROM lin_ranked WHERE rank <= 3"
 Q["explain_insights"] = f"""
 SELECT i.feature, rank, mean_impact, {rnd('f', 4)} AS fraud_mean, {rnd('m', 4)} AS normal_mean, {rnd('f / nullif(m, 0)', 4)} AS ratio,
   {rnd('(f - m) * 100 / nullif(m, 0)', 2)} AS diff_pct FROM ({_IMP}) i JOIN (
