@@ -104,14 +104,16 @@ def fit_labels(df: DataFrame, rules: LabelRules = LabelRules()) -> LabelStats:
 
 def enrich(df: DataFrame, stats: LabelStats, batch_median_size: float | None) -> DataFrame:
     """Listings with their city and state statistics, national values where the place is unknown."""
-    national = F.lit(stats.national_median)
-    fallback_ppsf = stats.national_median / max(batch_median_size if batch_median_size is not None else 1.0, 1.0)
+    national = F.lit(stats.national_median).cast("double")
+    # Without a priced training listing there is no national value and no price rule fires.
+    size = max(batch_median_size if batch_median_size is not None else 1.0, 1.0)
+    fallback_ppsf = None if stats.national_median is None else stats.national_median / size
     joined = left_lookup(left_lookup(df, stats.city, ["city"]), stats.state, ["state"])
     return (
         joined.withColumn("city_median", F.coalesce("city_median", national))
         .withColumn("city_std", F.coalesce("city_std", F.col("city_median") * 0.3))
         .withColumn("state_median", F.coalesce("state_median", national))
-        .withColumn("city_ppsf_low", F.coalesce("city_ppsf_low", F.lit(fallback_ppsf)))
+        .withColumn("city_ppsf_low", F.coalesce("city_ppsf_low", F.lit(fallback_ppsf).cast("double")))
     )
 
 
@@ -120,34 +122,42 @@ def batch_median_size(df: DataFrame) -> float | None:
     return row["mid"] if row else None
 
 
-DUPLICATE_KEY = ("bed", "bath", "_size10", "zip_code")
+DUPLICATE_KEY = ("bed", "bath", "house_size", "zip_code")
+
+
+def _keyed(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Listings with the size to 10, and the names of the duplicate key among their columns."""
+    key = [c for c in DUPLICATE_KEY if c in df.columns]
+    if "house_size" in key:
+        df = df.withColumn("_size10", F.bround(F.col("house_size") / 10) * 10)
+        key[key.index("house_size")] = "_size10"
+    return df, key
 
 
 def duplicate_keys(df: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:
-    """Keys (bed, bath, size to 10, zip) carrying more than one price, in zips with enough listings.
+    """Keys (bed, bath, size to 10, zip; or three of them) carrying more than one price, in zips with enough listings.
 
     Only key-level aggregates are shuffled, after a map-side combine; no group of listings is ever gathered.
     """
-    keyed = df.withColumn("_size10", F.bround(F.col("house_size") / 10) * 10).dropna(subset=list(DUPLICATE_KEY))
-    per_key = keyed.groupBy(*DUPLICATE_KEY).agg(
+    keyed, key = _keyed(df)
+    per_key = keyed.dropna(subset=key).groupBy(*key).agg(
         F.count(F.lit(1)).alias("_n"), F.min("price").alias("_lo"), F.max("price").alias("_hi")
     )
     repeated = per_key.where(F.col("_lo") < F.col("_hi"))
-    busy = df.where(F.col("zip_code").isNotNull()).groupBy("zip_code").agg(F.count(F.lit(1)).alias("_zip_n"))
-    busy = busy.where(F.col("_zip_n") >= rules.duplicate_min_zip_listings).select("zip_code")
-    return repeated.join(busy, "zip_code", "left_semi").select(*DUPLICATE_KEY, "_n", F.lit(1).alias("rule_duplicate"))
+    if "zip_code" in key:
+        busy = df.where(F.col("zip_code").isNotNull()).groupBy("zip_code").agg(F.count(F.lit(1)).alias("_zip_n"))
+        busy = busy.where(F.col("_zip_n") >= rules.duplicate_min_zip_listings).select("zip_code")
+        repeated = repeated.join(busy, "zip_code", "left_semi")
+    return repeated.select(*key, "_n", F.lit(1).alias("rule_duplicate"))
 
 
 def flag_duplicates(df: DataFrame, rules: LabelRules = LabelRules(), keys: DataFrame | None = None) -> DataFrame:
     """Rule 6. With fewer than three key columns present the rule never fires."""
-    present = [c for c in ("bed", "bath", "house_size", "zip_code") if c in df.columns]
-    if len(present) < 3:
+    keyed, key = _keyed(df)
+    if len(key) < 3:
         return df.withColumn("rule_duplicate", F.lit(0))
-    if len(present) < 4:
-        raise ValueError("the duplicate rule needs bed, bath, house_size and zip_code; add the missing one as null")
     keys = keys if keys is not None else materialize(duplicate_keys(df, rules), "label_duplicates")
-    keyed = df.withColumn("_size10", F.bround(F.col("house_size") / 10) * 10)
-    joined = left_lookup(keyed, keys, DUPLICATE_KEY, freq="_n")
+    joined = left_lookup(keyed, keys, key, freq="_n")
     return joined.withColumn("rule_duplicate", F.coalesce("rule_duplicate", F.lit(0))).drop("_size10")
 
 

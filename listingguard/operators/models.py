@@ -50,6 +50,8 @@ def _counts(df: DataFrame, label: str) -> tuple[float, float]:
 
 
 def scale_pos_weight(n: float, positives: float) -> float:
+    if not 0 < positives < n:
+        raise ValueError(f"training needs rows of both labels; {positives:.0f} of {n:.0f} are positive")
     share = positives / n
     return round((1 - share) / share, 2)
 

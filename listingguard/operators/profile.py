@@ -115,16 +115,15 @@ def price_profile(df: DataFrame) -> DataFrame:
 
 def leakage_report(df: DataFrame, columns: Sequence[str] = BASE_COLUMNS) -> DataFrame:
     """Leakage risk and action per column from its role, with distinct count and null share."""
-    # Wording of the report.
     roles = {
-        **{c: ("HIGH — DROPPED", "Already dropped") for c in DROPPED},
-        **{c: ("MEDIUM", "Extract year/month features only") for c in TEMPORAL},
-        **{c: ("MEDIUM", "Frequency or target encoding (OOF-safe)") for c in HIGH_CARDINALITY},
-        **{c: ("LOW", "Keep — standard scaling") for c in NUMERIC},
-        **{c: ("LOW", "Ordinal or OHE encoding") for c in CATEGORICAL},
+        **{c: ("high: not used", "left out of the model") for c in DROPPED},
+        **{c: ("MEDIUM", "use its year and month") for c in TEMPORAL},
+        **{c: ("MEDIUM", "encode per training fold") for c in HIGH_CARDINALITY},
+        **{c: ("LOW", "scale") for c in NUMERIC},
+        **{c: ("LOW", "encode by order") for c in CATEGORICAL},
     }
     extra = [c for c in columns if c not in roles]
-    rows = [(c, *roles[c]) for c in roles] + [(c, "UNKNOWN", "Review manually") for c in extra]
+    rows = [(c, *roles[c]) for c in roles] + [(c, "UNKNOWN", "look at it") for c in extra]
     table = df.sparkSession.createDataFrame(rows, "column_name string, leakage_risk string, action string")
     as_text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     distinct = cardinality(as_text, columns).withColumnRenamed("n_unique", "n_distinct")

@@ -908,6 +908,9 @@ def registry(spark, d):
         "recall_at_95p",
         F.lit(SETTINGS.suspicious_score).alias("threshold"),
         (fold == 3).alias("is_active"),
+        F.concat(F.lit("models/weak/"), fold.cast("string")).alias("model_path"),
+        F.concat(F.lit("run-"), fold.cast("string")).alias("run_id"),
+        F.lit(None).cast("string").alias("notes"),
     )
 
 
@@ -922,6 +925,9 @@ def new_model(spark, d):
         "pr_auc",
         "recall_at_95p",
         "threshold",
+        F.lit("models/strong").alias("model_path"),
+        F.lit("run-strong").alias("run_id"),
+        F.lit("all rows").alias("notes"),
     )
 
 

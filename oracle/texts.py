@@ -280,12 +280,13 @@ CTE["registry"] = f"""
 SELECT CAST(fold + 1 AS bigint) AS id, TIMESTAMP '2024-01-01' + fold * INTERVAL 1 DAY AS registered_at, 'weak' AS model_name,
   concat('1.0.', CAST(fold AS string)) AS version,
   CASE WHEN fold = 3 THEN 'Production' WHEN fold = 4 THEN 'Staging' ELSE 'Archived' END AS stage,
-  {rnd('pr_auc', 6)} AS pr_auc, {rnd('r95', 6)} AS recall_at_95p, CAST(0.7 AS double) AS threshold, fold = 3 AS is_active
+  {rnd('pr_auc', 6)} AS pr_auc, {rnd('r95', 6)} AS recall_at_95p, CAST(0.7 AS double) AS threshold, fold = 3 AS is_active,
+  concat('models/weak/', CAST(fold AS string)) AS model_path, concat('run-', CAST(fold AS string)) AS run_id, CAST(NULL AS string) AS notes
 FROM fold_areas WHERE model = 'p_b'"""
 CTE["registered"] = f"""
 SELECT id, registered_at, model_name, version, CASE WHEN stage = 'Production' AND is_active THEN 'Archived' ELSE stage END AS stage,
-  pr_auc, recall_at_95p, threshold, CASE WHEN stage = 'Production' AND is_active THEN false ELSE is_active END AS is_active FROM registry
-UNION ALL SELECT 6, TIMESTAMP '2024-02-01', 'strong', '2.0.0', 'Production', {rnd('pr_auc', 6)}, {rnd('r95', 6)}, 0.7, true
+  pr_auc, recall_at_95p, threshold, CASE WHEN stage = 'Production' AND is_active THEN false ELSE is_active END AS is_active, model_path, run_id, notes FROM registry
+UNION ALL SELECT 6, TIMESTAMP '2024-02-01', 'strong', '2.0.0', 'Production', {rnd('pr_auc', 6)}, {rnd('r95', 6)}, 0.7, true, 'models/strong', 'run-strong', 'all rows'
 FROM areas WHERE model = 'p_a'"""
 
 
@@ -420,10 +421,10 @@ SELECT count(price) AS n_values, {rnd('avg(price)', 2)} AS mean, {rnd('stddev_sa
   {', '.join(f"{rnd(f'quantile_cont(price, {p / 100})', 2)} AS p{p}" for p in (1, 5, 10, 25, 50, 75, 90, 95, 99))},
   abs({rnd('skewness(price)', 3)}) > 1 AS log_recommended FROM listings"""
 _ROLE = {
-    "prev_sold_date": ("MEDIUM", "Extract year/month features only"),
-    **{c: ("MEDIUM", "Frequency or target encoding (OOF-safe)") for c in ("city", "zip_code")},
-    **{c: ("LOW", "Keep — standard scaling") for c in NUMERIC},
-    **{c: ("LOW", "Ordinal or OHE encoding") for c in CATEGORICAL},
+    "prev_sold_date": ("MEDIUM", "use its year and month"),
+    **{c: ("MEDIUM", "encode per training fold") for c in ("city", "zip_code")},
+    **{c: ("LOW", "scale") for c in NUMERIC},
+    **{c: ("LOW", "encode by order") for c in CATEGORICAL},
 }
 Q["leakage_report"] = " UNION ALL ".join(
     [
@@ -431,7 +432,7 @@ Q["leakage_report"] = " UNION ALL ".join(
         f"{rnd(f'CAST(count(*) FILTER ({c} IS NULL) AS double) * 100 / count(*)', 2)} AS null_pct, '{r}' AS leakage_risk, '{a}' AS action FROM listings"
         for c, (r, a) in _ROLE.items()
     ]
-    + [f"SELECT '{c}', NULL, NULL, NULL, 'HIGH — DROPPED', 'Already dropped'" for c in ("street", "brokered_by")]
+    + [f"SELECT '{c}', NULL, NULL, NULL, 'high: not used', 'left out of the model'" for c in ("street", "brokered_by")]
 )
 Q["quality_gates"] = f"""
 SELECT count(*) AS rows_seen, CAST(1000 AS bigint) AS rows_required, CAST({len(LISTING_TYPES)} AS int) AS columns_seen,

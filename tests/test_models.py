@@ -59,7 +59,7 @@ def test_pattern_table_matches_brute_force():
     from math import factorial
 
     leaf = ex.Leaf(2.0, (0, 3, 5), (-np.inf,) * 3, (1.0,) * 3, (0.3, 0.6, 0.9))
-    table = ex._pattern_table(leaf)
+    table = ex.pattern_values(leaf, np.arange(8))
 
     def game(pattern, members):
         return leaf.value * np.prod([pattern[j] if j in members else leaf.shares[j] for j in range(3)])
