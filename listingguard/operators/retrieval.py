@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingguard.functions.exprs import report_round, words
-from listingguard.operators.lookup import fits_broadcast, with_scalars
+from listingguard.operators.lookup import fits_broadcast, left_lookup, with_scalars
 from listingguard.sources.stage import materialize
 
 # Words ignored in a query.
@@ -71,21 +71,22 @@ def _checked(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if fits_broadcast(table) else table
 
 
-def scores(docs: DataFrame, queries: DataFrame, key: Sequence[str]) -> DataFrame:
-    """(key…, doc_id, score) for every query and document that share at least one term.
-
-    ``docs`` has (doc_id, text), ``queries`` has (key…, text).
-    """
-    key = list(key)
+def query_words(queries: DataFrame, key: Sequence[str]) -> DataFrame:
+    """key…, _n (number of terms) and term: one row per query and distinct term."""
     terms = queries.withColumn("_terms", query_terms("text")).select(
         *key, F.size("_terms").alias("_n"), F.explode("_terms").alias("term")
     )
-    terms = materialize(terms, "query_terms")
+    return materialize(terms, "query_terms")
+
+
+def term_hits(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, term): the query terms that occur in each document. The corpus is tokenised once."""
     distinct = terms.select("term").distinct().withColumn("_g", F.least(F.length("term"), F.lit(GRAM)))
     distinct = materialize(distinct.withColumn("_gram", F.expr("substring(term, 1, _g)")), "query_grams")
     # The outer explode spares an inferred filter that would tokenise every text twice.
     doc_tokens = docs.select("doc_id", F.explode_outer(F.array_distinct(words("text"))).alias("token"))
-    vocabulary = doc_tokens.where(F.col("token").isNotNull()).select("token").distinct()
+    doc_tokens = materialize(doc_tokens.where(F.col("token").isNotNull()), "doc_tokens")
+    vocabulary = doc_tokens.select("token").distinct()
     grams = F.expr(
         f"flatten(transform(sequence(1, {GRAM}), g -> "
         "transform(sequence(1, length(token)), i -> substring(token, i, g))))"
@@ -93,12 +94,71 @@ def scores(docs: DataFrame, queries: DataFrame, key: Sequence[str]) -> DataFrame
     pieces = vocabulary.select("token", F.explode_outer(F.array_distinct(grams)).alias("_gram"))
     pairs = pieces.join(_checked(distinct), "_gram").where(F.col("token").contains(F.col("term")))
     pairs = materialize(pairs.select("term", "token").distinct(), "term_tokens")
-    # Small (document, term) rows are laid out by document once; the pairs grown from them are then counted in place.
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hits = doc_tokens.join(_checked(pairs), "token").select("doc_id", "term")
-    hits = hits.repartition(parts, "doc_id").distinct()
-    per_pair = hits.join(_checked(terms), "term").groupBy(*key, "doc_id", "_n").agg(F.count(F.lit(1)).alias("_m"))
-    return per_pair.select(*key, "doc_id", report_round(F.col("_m") / F.col("_n"), 4).alias("score"))
+    return doc_tokens.join(_checked(pairs), "token").select("doc_id", "term").distinct()
+
+
+def scores(docs: DataFrame, queries: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key…, doc_id, score) for every query and document that share at least one term.
+
+    ``docs`` has (doc_id, text), ``queries`` has (key…, text).
+    """
+    key = list(key)
+    terms = query_words(queries, key)
+    return _scored(_counted(term_hits(docs, terms), terms, key), key)
+
+
+def _counted(hits: DataFrame, terms: DataFrame, key: list[str]) -> DataFrame:
+    return hits.join(_checked(terms), "term").groupBy(*key, "doc_id", "_n").agg(F.count(F.lit(1)).alias("_m"))
+
+
+def _scored(counted: DataFrame, key: list[str]) -> DataFrame:
+    return counted.select(*key, "doc_id", report_round(F.col("_m") / F.col("_n"), 4).alias("score"))
+
+
+HEAD = 256
+
+
+def best_scores(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int, head: int = HEAD) -> DataFrame:
+    """The ``n`` best of ``scores`` per query with their rank, without scoring every pair.
+
+    The first ``head`` documents in corpus order are scored in full. If the n-th best of a query there matches m terms, a later
+    document has to match more than m, so it contains one of any n_terms - m of the query's terms: only the documents of
+    the rarest ones are looked at. A query whose n best match everything is done at once.
+    """
+    key = list(key)
+    terms = query_words(queries, key)
+    hits = materialize(term_hits(docs, terms), "term_hits")
+    last = docs.select("doc_id").orderBy("doc_id").limit(head).agg(F.max("doc_id")).first()[0]
+    order = Window.partitionBy(*key).orderBy(F.desc("_m"), "doc_id")
+
+    def top(counted: DataFrame) -> DataFrame:
+        # Spark keeps only n rows per query and map task before this shuffle.
+        return counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+    early = materialize(top(_counted(hits.where(F.col("doc_id") <= last), terms, key)), "retrieval_head")
+    bar = early.where(F.col("rank") == n).select(*key, F.col("_m").alias("_bar"))
+    frequency = hits.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    rarity = Window.partitionBy(*key).orderBy("_df", "term")
+    opened = (
+        terms.join(frequency, "term")
+        .join(bar, key, "left")
+        .withColumn("_at", F.row_number().over(rarity))
+        # terms that no document has are the rarest of all; they are not in this list but count as opened
+        .withColumn("_absent", F.col("_n") - F.count(F.lit(1)).over(Window.partitionBy(*key)))
+        .where(F.col("_at") + F.col("_absent") <= F.col("_n") - F.coalesce("_bar", F.lit(0)))
+        .select(*key, "term")
+    )
+    opened = materialize(opened, "opened_terms")
+    later = hits.where(F.col("doc_id") > last)
+    candidates = later.join(_checked(opened), "term").select(*key, "doc_id").distinct()
+    found = (
+        candidates.join(terms, key)
+        .join(later, ["doc_id", "term"], "left_semi")
+        .groupBy(*key, "doc_id", "_n")
+        .agg(F.count(F.lit(1)).alias("_m"))
+    )
+    merged = top(early.drop("rank").unionByName(found))
+    return merged.select(*key, "doc_id", report_round(F.col("_m") / F.col("_n"), 4).alias("score"), "rank")
 
 
 def retrieve(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int = 4) -> DataFrame:
@@ -108,10 +168,7 @@ def retrieve(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int = 4
     gets every document, which is the asked-for result; those rows are spread over shards of the corpus.
     """
     key = list(key)
-    order = Window.partitionBy(*key).orderBy(F.desc("score"), "doc_id")
-    # Spark keeps only n rows per query and map task before this shuffle.
-    best = scores(docs, queries, key).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
-    best = materialize(best, "retrieval_best")
+    best = materialize(best_scores(docs, queries, key, n), "retrieval_best")
     matched = best.groupBy(*key).agg(F.max("rank").alias("_found"))
     per_query = materialize(queries.select(*key).join(matched, key, "left"), "retrieval_counts")
     short = per_query.where((F.col("_found") >= 1) & (F.col("_found") < n))
@@ -184,10 +241,17 @@ def turns_before(conversations: DataFrame, n: int = 4) -> DataFrame:
     return both.select("conv_id", "turn", "role", "text", _history_text(kept).alias("history"))
 
 
+def _with_texts(hits: DataFrame, docs: DataFrame, chars: int) -> DataFrame:
+    """Hits with source and cut text. Popular documents are hit by many queries: each text is fetched once and joined back."""
+    ids = hits.select("doc_id").distinct()
+    texts = docs.join(ids, "doc_id", "left_semi").select("doc_id", "source", F.substring("text", 1, chars).alias("_text"))
+    return left_lookup(hits, materialize(texts, "hit_texts"), ["doc_id"], row_id=hits.columns[0])
+
+
 def context_blocks(hits: DataFrame, docs: DataFrame, key: Sequence[str], chars: int = 2000) -> DataFrame:
     """Numbered source blocks of the retrieved documents per query."""
     key = list(key)
-    joined = hits.join(docs.select("doc_id", "source", F.substring("text", 1, chars).alias("_text")), "doc_id")
+    joined = _with_texts(hits, docs, chars)
     block = F.concat(
         F.lit("\n[Source "), F.col("rank").cast("string"), F.lit(": "), F.col("source"), F.lit("]\n"), F.col("_text"), F.lit("\n")
     )
@@ -229,7 +293,7 @@ def explain_context(docs: DataFrame, predictions: DataFrame, n: int = 2) -> Data
         "text", F.concat(F.lit("threshold risk tier "), F.col("risk_tier"), F.lit(" price anomaly fraud signal"))
     )
     hits = retrieve(docs, queries, ["risk_tier"], n).where(F.col("rank") <= n)
-    joined = hits.join(docs.select("doc_id", F.substring("text", 1, 1500).alias("_text")), "doc_id")
+    joined = _with_texts(hits, docs, 1500)
     texts = F.sort_array(F.collect_list(F.struct("rank", "_text")))
     per_tier = joined.groupBy("risk_tier").agg(
         F.substring(F.array_join(F.transform(texts, lambda t: t["_text"]), "\n"), 1, 1000).alias("context")
