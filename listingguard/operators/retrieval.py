@@ -58,7 +58,7 @@ STOP_WORDS = (
     "it",
 )
 
-GRAM = 3
+GRAM = 5
 FALLBACK_SHARDS = 64
 
 

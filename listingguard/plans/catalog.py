@@ -21,6 +21,7 @@ from listingguard.operators import models as mo
 from listingguard.operators import predlog as pl
 from listingguard.operators import profile as pr
 from listingguard.operators import retrieval as re_
+from listingguard.operators import scoring as sg
 from listingguard.operators import splits as sp
 from listingguard.operators import text as tx
 from listingguard.operators import validate as va
@@ -721,6 +722,25 @@ def batch_score(spark, d):
     return model_scorer(spark, d).score(listings(spark, d))
 
 
+@query("scored_log")
+def scored_log(spark, d):
+    """Score, tier and three strongest features of every valid listing."""
+    scorer = model_scorer(spark, d)
+    return sg.scored_rows(scorer, ex.read_leaves(spark, scorer.gbt), listings(spark, d)).drop("scored_at")
+
+
+@query("stream_scored_log")
+def stream_scored_log(spark, d):
+    """The same through a stream."""
+    scorer = model_scorer(spark, d)
+    rows = listings(spark, d)
+    base = f"{work_dir(spark)}/stream-{seed_name()}"
+    rows.write.parquet(f"{base}/in")
+    stream = st.read_listing_stream(spark, f"{base}/in", rows.schema)
+    st.score_stream(stream, scorer, ex.read_leaves(spark, scorer.gbt), f"{base}/out", f"{base}/state").awaitTermination()
+    return st.labeled_output(spark, f"{base}/out").drop("scored_at")
+
+
 @query("stream_score_rules")
 def stream_score_rules(spark, d):
     rows = listings(spark, d)
