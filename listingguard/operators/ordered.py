@@ -17,14 +17,35 @@ from listingguard.functions.exprs import col
 from listingguard.operators.lookup import fits_broadcast
 from listingguard.sources.stage import materialize
 
-BUCKETS_PER_LOG_UNIT = 256
+BUCKETS_PER_OCTAVE = 1024
+LOWEST_EXPONENT = -1080
 GROUP_LIMIT = 1_000_000
+#: Distinct values of one bucket that are sorted together; a fuller bucket is cut again between its least and largest value.
+BUCKET_LIMIT = 100_000
 
 
 def value_bucket(value: str | Column) -> Column:
-    """Monotone bucket of a finite double: about 0.4 % wide, bounded in number (log1p is semi-monotonic)."""
+    """Monotone bucket of a finite double, about 0.07 % wide at any size of the value (the logarithm is semi-monotonic)."""
     v = col(value)
-    return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * BUCKETS_PER_LOG_UNIT)).cast("long")
+    up = F.floor((F.log2(F.abs(v)) - LOWEST_EXPONENT) * BUCKETS_PER_OCTAVE)
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * up).cast("long")
+
+
+def refined_buckets(counts: DataFrame, groups: Sequence[str], value: str, limit: int | None = None) -> DataFrame:
+    """``counts`` with (_bucket, _sub): buckets of more than ``limit`` values are cut into equal ranges of the value."""
+    limit = limit or BUCKET_LIMIT
+    bucketed = counts.withColumn("_bucket", value_bucket(value))
+    full = bucketed.groupBy(*groups, "_bucket").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(value).alias("_least"), F.max(value).alias("_most")
+    )
+    full = full.where((F.col("_rows") > limit) & (F.col("_least") < F.col("_most")))
+    share = (F.col(value) - F.col("_least")) / (F.col("_most") - F.col("_least"))
+    sub = F.floor(share * F.ceil(4 * F.col("_rows") / limit)).cast("long")
+    return (
+        bucketed.join(full, [*groups, "_bucket"], "left")
+        .withColumn("_sub", F.coalesce(sub, F.lit(0)))
+        .drop("_rows", "_least", "_most")
+    )
 
 
 def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
@@ -35,13 +56,13 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     return df.where(present).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _bucket_offsets(bucketed: DataFrame, groups: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    per_bucket = bucketed.groupBy(*groups, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
+def _bucket_offsets(bucketed: DataFrame, groups: Sequence[str], measures: Sequence[str], keys: Sequence[str] = ("_bucket",)) -> DataFrame:
+    per_bucket = bucketed.groupBy(*groups, *keys).agg(*[F.sum(m).alias(m) for m in measures])
     whole = Window.partitionBy(*groups)
-    prior = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    prior = whole.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     return per_bucket.select(
         *groups,
-        "_bucket",
+        *keys,
         *[F.coalesce(F.sum(m).over(prior), F.lit(0)).alias(f"_off_{m}") for m in measures],
         *[F.sum(m).over(whole).alias(f"total_{m}") for m in measures],
         *[F.col(m).alias(f"_in_{m}") for m in measures],
@@ -50,12 +71,11 @@ def _bucket_offsets(bucketed: DataFrame, groups: Sequence[str], measures: Sequen
 
 def running_totals(counts: DataFrame, groups: Sequence[str], value: str, measures: Sequence[str]) -> DataFrame:
     """Add ``before_<m>`` (sum over smaller values of the group) and ``total_<m>`` to one-row-per-value counts."""
-    bucketed = counts.withColumn("_bucket", value_bucket(value))
-    offsets = _bucket_offsets(bucketed, groups, measures)
-    inside = (
-        Window.partitionBy(*groups, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return bucketed.join(offsets, [*groups, "_bucket"]).select(
+    keys = ["_bucket", "_sub"]
+    bucketed = refined_buckets(counts, groups, value)
+    offsets = _bucket_offsets(bucketed, groups, measures, keys)
+    inside = Window.partitionBy(*groups, *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return bucketed.join(offsets, [*groups, *keys]).select(
         *counts.columns,
         *[
             (F.col(f"_off_{m}") + F.coalesce(F.sum(m).over(inside), F.lit(0))).alias(f"before_{m}")
@@ -156,15 +176,21 @@ def split_quantiles(
         hit = (F.col("name") == name) & (F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_to"))
         return F.max(F.when(hit, F.col(value)))
 
-    def frac(name: str) -> Column:
-        return F.max(F.when(F.col("name") == name, F.col("_pos") - F.col("_lo")))
+    def weight(of: Column, name: str) -> Column:
+        return F.max(F.when(F.col("name") == name, of))
+
+    def between(name: str) -> Column:
+        """The weighted sum that Spark's ``percentile`` forms, so that both ways agree to the last bit."""
+        low, high = at("_lo", name), at("_hi", name)
+        mixed = weight(F.col("_hi") - F.col("_pos"), name) * low + weight(F.col("_pos") - F.col("_lo"), name) * high
+        return F.when(low == high, low).otherwise(mixed)
 
     return (
         placed.where((F.col("_from") <= F.col("_hi")) & (F.col("_lo") < F.col("_to")))
         .groupBy(*keys)
         .agg(
             F.max("total_n").alias("n"),
-            *[(at("_lo", k) + (at("_hi", k) - at("_lo", k)) * frac(k)).alias(k) for k in probs],
+            *[between(k).alias(k) for k in probs],
         )
         .drop("_all")
     )
