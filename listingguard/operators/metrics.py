@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from listingguard.config import SETTINGS
 from listingguard.functions.exprs import flag, ratio, report_round
+from listingguard.operators.lookup import with_scalars
 from listingguard.operators.ordered import running_totals
 
 # Thresholds of the sweep and cost of a missed fraud in false alarms.
@@ -201,6 +202,13 @@ def fold_comparison(df: DataFrame, scores: Sequence[str], label: str = "y_true",
     ).orderBy(F.desc("mean_pr_auc"), "model")
 
 
+def with_gain(comparison: DataFrame, singles: Sequence[str]) -> DataFrame:
+    """A comparison with each model's out-of-fold gain over the best of the single models."""
+    best = comparison.where(F.col("model").isin(*singles)).agg(F.max("oof_pr_auc").alias("_best"))
+    gained = with_scalars(comparison, best).withColumn("gain", report_round(F.col("oof_pr_auc") - F.col("_best"), 6))
+    return gained.drop("_best").orderBy(F.desc("oof_pr_auc"), "model")
+
+
 def class_weights(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     """Positive weight of the tree model and the balanced weights of the logistic model."""
     n, p = F.count(F.lit(1)).cast("double"), F.sum(flag(F.col(label) == 1)).cast("double")

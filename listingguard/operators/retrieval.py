@@ -268,6 +268,36 @@ def prompt_context(docs: DataFrame, conversations: DataFrame, n: int = 4) -> Dat
     return turns.join(context_blocks(hits, docs, key), key)
 
 
+def listing_block(price: str = "price", city: str = "city", score: str = "fraud_score", tier: str = "risk_tier") -> Column:
+    """The listing in question and its prediction as lines of a prompt; what is missing reads N/A."""
+    none = F.lit("N/A")
+    return F.concat(
+        F.lit("Listing in question\n- price: "),
+        F.coalesce(F.concat(F.lit("$"), F.format_number(F.bround(price, 0), 0)), none),
+        F.lit("\n- city: "),
+        F.coalesce(city, none),
+        F.lit("\n- fraud score: "),
+        F.coalesce(F.format_string("%.4f", score), none),
+        F.lit("\n- risk tier: "),
+        F.coalesce(tier, none),
+        F.lit("\n"),
+    )
+
+
+def prompt_text(context: str = "context", listing: str = "listing", history: str = "history", question: str = "question") -> Column:
+    """One prompt: sources, the listing (may be null), the turns before, and the question."""
+    return F.concat(
+        F.lit("Sources:"),
+        F.coalesce(context, F.lit("")),
+        F.coalesce(F.concat(F.lit("\n"), F.col(listing)), F.lit("")),
+        F.lit("\nEarlier turns:\n"),
+        F.coalesce(history, F.lit("")),
+        F.lit("\nQuestion: "),
+        F.coalesce(question, F.lit("")),
+        F.lit("\n"),
+    )
+
+
 def signal_lines(top3: str = "top3") -> Column:
     """One line per top signal of a prediction."""
     return F.array_join(

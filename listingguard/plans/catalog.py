@@ -24,6 +24,7 @@ from listingguard.operators import retrieval as re_
 from listingguard.operators import scoring as sg
 from listingguard.operators import splits as sp
 from listingguard.operators import text as tx
+from listingguard.operators.lookup import with_scalars
 from listingguard.operators import validate as va
 from listingguard.sources.stage import materialize, stage, work_dir
 from listingguard.sources.tables import build_listings, listings, scored, table, typed_scan
@@ -717,6 +718,19 @@ def model_comparison(spark, d):
     return me.fold_comparison(scored(spark, d), ["p_a", "p_b"])
 
 
+@query("fitted_model_comparison")
+def fitted_model_comparison(spark, d):
+    """The cross-validated models side by side: both base models, the stack and its calibration."""
+    run = model_run(spark, d)
+    scores = materialize(run.stack.score(run.oof), "all_scores")
+    return me.with_gain(me.fold_comparison(scores, ["lr", "gbt", "p_stacked", "p_calibrated"]), ["lr", "gbt"])
+
+
+@query("score_comparison")
+def score_comparison(spark, d):
+    return me.with_gain(me.fold_comparison(scored(spark, d), ["p_a", "p_b"]), ["p_b"])
+
+
 @query("batch_score")
 def batch_score(spark, d):
     return model_scorer(spark, d).score(listings(spark, d))
@@ -990,6 +1004,19 @@ def prompt_context(spark, d):
     return re_.prompt_context(documents(spark, d), table(spark, d, "conversations"))
 
 
+@query("prompt_texts")
+def prompt_texts(spark, d):
+    """Whole prompts about the listing with the highest score in the log."""
+    worst = prediction_log(spark, d).orderBy(F.desc("fraud_score"), "id").limit(1).select(re_.listing_block().alias("listing"))
+    turns = with_scalars(re_.prompt_context(documents(spark, d), table(spark, d, "conversations")), worst)
+    return turns.select("conv_id", "turn", re_.prompt_text().alias("prompt"))
+
+
+@query("listing_blocks")
+def listing_blocks(spark, d):
+    return prediction_log(spark, d).select("id", re_.listing_block().alias("listing"))
+
+
 @query("explain_context")
 def explain_context(spark, d):
     top = ex.top_features(linear_explained(spark, d)).select(F.col("listing_id").alias("id"), F.col("top").alias("top3"))

@@ -656,7 +656,8 @@ Q["score_correlation"] = f"SELECT {rnd('corr(p_a, p_b)', 6)} AS r FROM scored"
 Q["model_comparison"] = f"""
 SELECT f.model, {rnd('avg(f.pr_auc)', 6)} AS mean_pr_auc, {rnd('stddev_pop(f.pr_auc)', 6)} AS std_pr_auc, {rnd('avg(f.r95)', 6)} AS mean_recall_at_95p,
   {rnd('max(a.pr_auc)', 6)} AS oof_pr_auc, stddev_pop(f.pr_auc) > 0.05 AS unstable FROM fold_areas f JOIN areas a ON f.model = a.model GROUP BY f.model"""
-
+Q["score_comparison"] = f"""
+SELECT *, {rnd("oof_pr_auc - max(oof_pr_auc) FILTER (model = 'p_b') OVER ()", 6)} AS gain FROM ({Q["model_comparison"]})"""
 # Metrics.
 Q["pr_auc"] = f"SELECT model, {rnd('pr_auc', 6)} AS pr_auc FROM areas"
 Q["roc_auc"] = f"SELECT model, {rnd('roc_auc', 6)} AS roc_auc FROM areas"
@@ -738,6 +739,25 @@ SELECT t.conv_id, t.turn, t.text AS question, coalesce((SELECT string_agg(line,
   c.context FROM turns t JOIN (SELECT conv_id, turn, string_agg(concat(chr(10), '[Source ', CAST(rank AS string), ': ', source, ']', chr(10), substr(d.text, 1, 2000), chr(10)), '' ORDER BY rank) AS context
   FROM hits h JOIN documents d ON h.doc_id = d.doc_id WHERE rank <= 4 GROUP BY conv_id, turn) c ON t.conv_id = c.conv_id AND t.turn = c.turn"""
 
+_BLOCK = """concat('Listing in question', chr(10), '- price: ', CASE WHEN price IS NULL THEN 'N/A' ELSE concat('$', format('{:,}', CAST(round_even(price, 0) AS bigint))) END,
+  chr(10), '- city: ', coalesce(city, 'N/A'), chr(10), '- fraud score: ', coalesce(printf('%.4f', fraud_score), 'N/A'), chr(10), '- risk tier: ', coalesce(risk_tier, 'N/A'), chr(10))"""
+Q["listing_blocks"] = f"SELECT id, {_BLOCK} AS listing FROM logs"
+Q["prompt_texts"] = f"""
+SELECT conv_id, turn, concat('Sources:', context, chr(10), listing, chr(10), 'Earlier turns:', chr(10), history, chr(10), 'Question: ', question, chr(10)) AS prompt
+FROM ({Q["prompt_context"]}), (SELECT {_BLOCK} AS listing FROM logs ORDER BY fraud_score DESC, id LIMIT 1)"""
+
+_V3 = f"printf('%.3f', CAST(round(CAST({rnd('value', 4)} AS DECIMAL(38,4)), 3) AS double))"
+_I4 = rnd("impact", 4)
+Q["explain_context"] = f"""
+SELECT s.listing_id AS id, t.risk_tier, g.signals, c.context FROM scored s
+JOIN (SELECT listing_id, CASE WHEN p_a >= 0.7 THEN 'HIGH' WHEN p_a >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier FROM scored) t ON t.listing_id = s.listing_id
+JOIN (SELECT listing_id, string_agg(concat(chr(10), '  - ', feature, ' = ', {_V3}, CASE WHEN {_I4} > 0 THEN ' → fraud signal' ELSE ' → normal signal' END,
+    ' (impact: ', printf('%+.4f', {_I4}), ')'), '' ORDER BY rank) AS signals FROM lin_ranked WHERE rank <= 3 GROUP BY listing_id) g ON g.listing_id = s.listing_id
+LEFT JOIN (SELECT risk_tier, substr(string_agg(substr(d.text, 1, 1500), chr(10) ORDER BY rk), 1, 1000) AS context FROM (
+    SELECT risk_tier, doc_id, row_number() OVER (PARTITION BY risk_tier ORDER BY {rnd("CAST(len(list_filter(terms, lambda t: contains(low, t))) AS double) / len(terms)", 4)} DESC, doc_id) AS rk
+    FROM (SELECT risk_tier, list_filter(list_distinct(regexp_extract_all(lower(concat('threshold risk tier ', risk_tier, ' price anomaly fraud signal')), '{_WORD}')), lambda w: w NOT IN ({_STOP})) AS terms
+      FROM (VALUES ('HIGH'), ('MEDIUM'), ('LOW')) v(risk_tier)), low_docs) h JOIN documents d ON h.doc_id = d.doc_id WHERE rk <= 2 GROUP BY risk_tier) c ON c.risk_tier = t.risk_tier"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in Q.items()}
