@@ -36,7 +36,7 @@ from listingguard.sources.stage import materialize
 ORDER = 2
 K = 5
 HOT = 256
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 12_000_000
 BUCKET_BYTES = 12_000_000
 FOLDS, HELD_OUT = 10, 0
 END = np.uint64(0x5BD1E995A1C3F00D)
@@ -65,6 +65,17 @@ def unpack_sorted(data: bytes, kind=np.int64) -> np.ndarray:
     return np.cumsum(unpack(data, kind), dtype=kind)
 
 
+def pack_values(x: np.ndarray) -> bytes:
+    """Numbers of which many are equal, as a table of values and places in it."""
+    values, place = np.unique(x, return_inverse=True)
+    return len(values).to_bytes(8, "little") + pack(np.concatenate((values.view(np.int64), place.astype(np.int64))))
+
+
+def unpack_values(data: bytes) -> np.ndarray:
+    n, both = int.from_bytes(data[:8], "little"), unpack(data[8:])
+    return both[:n].view(np.float64)[both[n:]]
+
+
 def cell(level: int, kind: str, block: int = -1, bucket: int = -1, hot: bool = False, **parts: bytes) -> dict:
     return {"level": level, "kind": kind, "block": block, "bucket": bucket, "hot": hot} | {c: parts.get(c) for c in "abcd"}
 
@@ -176,7 +187,7 @@ def count_grams(asked: pd.DataFrame, level: int, buckets: int, last: bool) -> pd
     h, w = ([unpack_sorted(x) for x in asked.a], [unpack(x) for x in asked.b])
     sizes = np.array([len(x) for x in h])
     h, w = np.concatenate(h), np.concatenate(w)
-    own, lower = np.concatenate([unpack(x) for x in asked.c]), np.concatenate([unpack(x, np.float64) for x in asked.d])
+    own, lower = np.concatenate([unpack(x) for x in asked.c]), np.concatenate([unpack_values(x) for x in asked.d])
     _, first, index = np.unique(pair_key(h, w), return_index=True, return_inverse=True)
     counts = np.bincount(index, own, len(first)).astype(np.int64)
     gram_h, gram_w, gram_low = h[first], w[first], lower[first]
@@ -248,7 +259,7 @@ def backoff(sums: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Block:
-    """One block with the replies so far: per token its probability, and as a history its id and count."""
+    """One block with the replies so far. Tokens hold 32-bit places in the block's own lists of distinct words and grams."""
 
     def __init__(self, cells: pd.DataFrame, model: dict, buckets: int) -> None:
         self.buckets, self.model = buckets, model
@@ -256,53 +267,63 @@ class Block:
         self.block = int(block.block)
         self.rows = unpack(block.b).reshape(4, -1)
         self.sizes = self.rows[3]
-        index = unpack(block.a)
         replies = cells[cells.kind == "reply"].sort_values(["level", "hot", "bucket"])
         self.replies = {level: part for level, part in replies.groupby("level")}
-        self.train = np.repeat(self.rows[2] == 1, self.sizes)
-        ends = np.cumsum(self.sizes)
-        self.place = np.arange(len(index)) - np.repeat(ends - self.sizes, self.sizes)
         one = self.replies[1]
-        self.ids = np.concatenate([unpack(x) for x in one.a])[index]
-        self.counts = np.concatenate([unpack(x) for x in one.b])[index]
-        self.p = model[1]["words"].probability(self.counts)
-        self.gram, self.gram_count = self.ids, self.counts
+        ids, counts = (np.concatenate([unpack(x) for x in column]) for column in (one.a, one.b))
+        self.word = unpack(block.a).astype(np.int32)
+        self.word_ids, self.word_counts = np.append(ids, UNSEEN), np.append(counts, 0)
+        self.word[self.word_ids[self.word] == UNSEEN] = len(ids)  # all unknown words are one
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.p = model[1]["words"].probability(self.word_counts)[self.word]
+        # as histories: place of each token's gram, and id and count of the block's grams, the text's begin being the last one
+        self.gram = self.word
+        self.gram_ids, self.gram_counts = np.append(self.word_ids, BEGIN), np.append(self.word_counts, np.iinfo(np.int64).max)
 
     def asks(self, level: int):
-        """Tokens with a history at this level, their distinct pairs in cell order, and (hot, bucket) of each pair."""
-        history = np.concatenate(([UNSEEN], self.gram[:-1]))
-        count = np.concatenate(([0], self.gram_count[:-1]))
+        """Tokens with a history at this level, a token and the place of each distinct pair, (history id, word id), and its cell."""
+        history = np.empty_like(self.gram)
+        history[1:] = self.gram[:-1]
+        nothing = len(self.gram_ids)  # a place beyond the list: no history
         if level == 2:
-            history[self.place == 0] = BEGIN
-            count[self.place == 0] = np.iinfo(np.int64).max
-        tokens = np.flatnonzero((history != UNSEEN) & (self.place >= level - 2))
-        h, w = history[tokens], self.ids[tokens]
-        _, first, index = np.unique(pair_key(h, w), return_index=True, return_inverse=True)
-        hot = count[tokens][first] >= max(2, self.model[1]["words"].total / HOT)
-        ph, pw = h[first], w[first]
-        bucket = bucket_of(np.where(hot, pair_key(ph, pw), ph.astype(np.uint64)), self.buckets)
-        order = np.lexsort((pw, ph, bucket, hot))
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        return tokens, first[order], rank[index], ph[order], pw[order], (hot[order] * self.buckets + bucket[order])
+            history[self.starts] = len(self.gram_ids) - 1
+        else:
+            history[self.starts] = nothing
+        real = np.append(self.gram_ids != UNSEEN, False)[history]
+        tokens = np.flatnonzero(real).astype(np.int32)
+        width = len(self.word_ids)
+        key = history[tokens].astype(np.int64) * width + self.word[tokens]
+        del history, real
+        pairs, first, index = np.unique(key, return_index=True, return_inverse=True)
+        del key
+        at, w = np.divmod(pairs, width)
+        h, count, w = self.gram_ids[at], self.gram_counts[at], self.word_ids[w]
+        hot = count >= max(2, self.model[1]["words"].total / HOT)
+        bucket = bucket_of(np.where(hot, pair_key(h, w), h.astype(np.uint64)), self.buckets)
+        order = np.lexsort((w, h, bucket, hot))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        return tokens, tokens[first[order]], rank[index], h[order], w[order], hot[order] * self.buckets + bucket[order]
 
     def asked(self, level: int) -> pd.DataFrame:
         tokens, first, index, h, w, place = self.asks(level)
-        own = np.bincount(index, self.train[tokens], len(first)).astype(np.int64)
-        low = self.p[tokens][first]
+        train = np.repeat(self.rows[2] == 1, self.sizes)
+        own = np.bincount(index, train[tokens], len(first)).astype(np.int64)
+        low = self.p[first]
+        del tokens, index, first, train
         cells = [
-            cell(level, "ask", self.block, q % self.buckets, q >= self.buckets, a=pack_sorted(h[lo:hi]), b=pack(w[lo:hi]), c=pack(own[lo:hi]), d=pack(low[lo:hi]))
+            cell(level, "ask", self.block, q % self.buckets, q >= self.buckets, a=pack_sorted(h[lo:hi]), b=pack(w[lo:hi]), c=pack(own[lo:hi]), d=pack_values(low[lo:hi]))
             for q, lo, hi in runs(place)
         ]
         return frame(cells)
 
     def rise(self, level: int) -> None:
         """From the probabilities of level - 1 to those of level."""
-        tokens, first, index, h, _, place = self.asks(level)
-        d = self.model[level]["d"]
+        tokens, _, index, h, _, place = self.asks(level)
         part = self.replies.get(level)
         if part is None:
             return
+        d = self.model[level]["d"]
         counts = np.concatenate([unpack(x) for x in part.b])
         below, alpha = np.ones(len(h)), np.ones(len(h))
         for (q, lo, hi), stat in zip(runs(place), part.c):
@@ -313,28 +334,26 @@ class Block:
                 sums = unpack(stat, np.float64).reshape(K + 2, -1)
             some = backoff(sums, d)
             below[lo:hi], alpha[lo:hi] = some[0][back], some[1][back]
-        low = self.p[tokens]
-        c = counts[index]
-        self.p = self.p.copy()
-        self.p[tokens] = np.where(c > 0, discounted(c, d) / below[index], alpha[index] * low)
-        self.gram, self.gram_count = np.zeros_like(self.ids), np.zeros_like(self.counts)
+        direct = discounted(counts, d) / below
+        seen = counts > 0
+        self.p[tokens] = np.where(seen[index], direct[index], alpha[index] * self.p[tokens])
         if len(part.a.iloc[0]):
-            self.gram[tokens] = np.concatenate([unpack(x) for x in part.a])[index]
-            self.gram_count[tokens] = c
+            self.gram = np.full(len(self.word), len(counts), np.int32)
+            self.gram[tokens] = index
+            self.gram_ids, self.gram_counts = np.append(np.concatenate([unpack(x) for x in part.a]), UNSEEN), np.append(counts, 0)
 
     def scores(self) -> pd.DataFrame:
         words = self.model[1]["words"]
-        cuts = np.cumsum(self.sizes) - self.sizes
-        base = np.log10((self.counts + 0.1) / (words.total + 0.1 * (words.types + 1)))
+        base = np.log10((self.word_counts + 0.1) / (words.total + 0.1 * (words.types + 1)))
         with np.errstate(divide="ignore"):
             score = np.log10(self.p)
         return pd.DataFrame({
             "doc_id": pd.Series(self.rows[0]).astype("Int64").mask(self.rows[1] == 1),
             "n_tokens": self.sizes,
-            "n_known": np.add.reduceat((self.counts > 0).astype(np.int64), cuts),
+            "n_known": np.add.reduceat((self.word_counts > 0)[self.word].astype(np.int64), self.starts),
             "train_tokens": words.total,
-            "base_score": np.add.reduceat(base, cuts),
-            "score": np.add.reduceat(score, cuts),
+            "base_score": np.add.reduceat(base[self.word], self.starts),
+            "score": np.add.reduceat(score, self.starts),
         })
 
 
@@ -361,19 +380,25 @@ def hot_sums(table: DataFrame, level: int) -> dict[int, np.ndarray]:
     return {r.h: np.array(r[1:]) for r in spread.groupBy("h").agg(*[F.sum(n).alias(n) for n in names]).collect()}
 
 
+def released(out: pd.DataFrame) -> pd.DataFrame:
+    """Gives memory that Arrow holds for later back before the next group is read."""
+    pa.default_memory_pool().release_unused()
+    return out
+
+
 def asking(level: int, model: dict, buckets: int):
     def ask(cells: pd.DataFrame) -> pd.DataFrame:
         block = Block(cells, model, buckets)
         for below in range(2, level):
             block.rise(below)
-        return block.asked(level)
+        return released(block.asked(level))
 
     return ask
 
 
 def counting(level: int, buckets: int, last: bool):
     def count(asked: pd.DataFrame) -> pd.DataFrame:
-        return count_grams(asked, level, buckets, last)
+        return released(count_grams(asked, level, buckets, last))
 
     return count
 
@@ -402,7 +427,7 @@ def score(docs: DataFrame, train: Column, order: int = ORDER) -> DataFrame:
         block = Block(cells, model, buckets)
         for level in range(2, order + 1):
             block.rise(level)
-        return block.scores()
+        return released(block.scores())
 
     shape = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return known().groupBy("block").applyInPandas(final, shape)
