@@ -25,7 +25,7 @@ from listingguard.sources.stage import materialize
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 EPOCHS = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def size_of(text: Column) -> Column:
