@@ -116,14 +116,16 @@ def _scored(counted: DataFrame, key: list[str]) -> DataFrame:
 
 
 HEAD = 256
+#: Terms opened beyond the rarest ones that a better document cannot avoid; it then has to match one more of them for each.
+EXTRA = 4
 
 
 def best_scores(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int, head: int = HEAD) -> DataFrame:
     """The ``n`` best of ``scores`` per query with their rank, without scoring every pair.
 
     The first ``head`` documents in corpus order are scored in full. If the n-th best of a query there matches m terms, a later
-    document has to match more than m, so it contains one of any n_terms - m of the query's terms: only the documents of
-    the rarest ones are looked at. A query whose n best match everything is done at once.
+    document has to match more than m, so it contains one of any n_terms - m of the query's terms, and x + 1 of any n_terms - m + x:
+    only documents that do so among the rarest ones are counted in full. A query whose n best match everything opens few.
     """
     key = list(key)
     terms = query_words(queries, key)
@@ -145,12 +147,14 @@ def best_scores(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int,
         .withColumn("_at", F.row_number().over(rarity))
         # terms that no document has are the rarest of all; they are not in this list but count as opened
         .withColumn("_absent", F.col("_n") - F.count(F.lit(1)).over(Window.partitionBy(*key)))
-        .where(F.col("_at") + F.col("_absent") <= F.col("_n") - F.coalesce("_bar", F.lit(0)))
-        .select(*key, "term")
+        .withColumn("_bar", F.coalesce("_bar", F.lit(0)))
+        .where(F.col("_at") + F.col("_absent") <= F.col("_n") - F.col("_bar") + EXTRA)
+        .select(*key, "term", (F.least("_bar", F.lit(EXTRA)) + 1).alias("_need"))
     )
     opened = materialize(opened, "opened_terms")
     later = hits.where(F.col("doc_id") > last)
-    candidates = later.join(_checked(opened), "term").select(*key, "doc_id").distinct()
+    shared = later.join(_checked(opened), "term").groupBy(*key, "doc_id", "_need").agg(F.count(F.lit(1)).alias("_k"))
+    candidates = shared.where(F.col("_k") >= F.col("_need")).select(*key, "doc_id")
     found = (
         candidates.join(terms, key)
         .join(later, ["doc_id", "term"], "left_semi")

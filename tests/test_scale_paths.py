@@ -179,3 +179,20 @@ def test_a_full_bucket_is_cut_again(spark, monkeypatch):
     assert refined.groupBy("_bucket", "_sub").count().agg(F.max("count")).first()[0] <= 500
     got = running_totals(df, ["g"], "v", ["n"]).toPandas().sort_values("v")
     assert got["before_n"].tolist() == (got["n"].cumsum() - got["n"]).tolist()
+
+
+@pytest.mark.parametrize("head", [2, 7])
+def test_pruned_retrieval_equals_all_pairs(spark, head):
+    """Best documents by the bar of a small head are those of the full pair scores, ties in corpus order."""
+    rng = np.random.default_rng(9)
+    words = [f"word{i}" for i in range(40)]
+    share = 1 / (1 + np.arange(40))
+    share = share / share.sum()
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words, 12, p=share))) for i in range(60)], "doc_id long, text string")
+    queries = spark.createDataFrame([(q, " ".join(rng.choice([*words, "absent", "word"], 9))) for q in range(40)], "q long, text string")
+    got = {(r["q"], r["rank"]): (r["doc_id"], r["score"]) for r in retrieval.best_scores(docs, queries, ["q"], 4, head).collect()}
+    want = {}
+    for q, part in retrieval.scores(docs, queries, ["q"]).toPandas().groupby("q"):
+        best = part.sort_values(["score", "doc_id"], ascending=[False, True]).head(4)
+        want |= {(q, i + 1): (d, s) for i, (d, s) in enumerate(zip(best["doc_id"], best["score"]))}
+    assert got == want
