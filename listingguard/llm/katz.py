@@ -33,7 +33,7 @@ from listingguard.llm import flat
 from listingguard.llm.common import crc_mod
 from listingguard.sources.stage import materialize
 
-ORDER = 2
+ORDER = 3
 K = 5
 HOT = 256
 BLOCK_BYTES = 12_000_000
