@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingguard.llm import decontaminate, linespread, mixing, nearcopies, purisk
+from listingguard.llm import decontaminate, linespread, mixing, purisk, simhash
 from listingguard.llm.common import read
 from listingguard.sources.stage import materialize
 
@@ -31,8 +31,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays. Links at a five-word-shingle similarity of 0.8 and more."""
-    return nearcopies.dedup(docs)
+    """Of each group of documents linked by fingerprints that differ in two bits at most, the one with the smallest id stays."""
+    return simhash.dedup(docs, shingle=simhash.SHINGLE, most=simhash.MAX_BITS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ STAGES = [
     ("mixing", mixture),
 ]
 
-#: The classifier and MinHash keys cannot be expressed in SQL; tests compare each stage with a brute-force version.
+#: The classifier and the fingerprints cannot be expressed in SQL; the operators' tests compare them with brute-force versions.
 ORACLE_SQL = None
 
 
