@@ -162,8 +162,15 @@ def estimated_prior(positives: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def bounded(rows: DataFrame, most: int, salt: int) -> np.ndarray:
-    """The features of at most ``most`` rows, those with the smallest hashes."""
-    picked = rows.select("x", F.xxhash64("rid", F.lit(salt)).alias("h")).orderBy("h").limit(most).collect()
+    """The features of at most ``most`` different rows, those with the smallest hashes.
+
+    A bound on the hash, from the row count, leaves little more than ``most`` rows before any of them is sent to the driver.
+    """
+    hashed = rows.select("x", F.xxhash64("rid", F.lit(salt)).alias("h"))
+    n = rows.count()
+    if n > 1.2 * most:
+        hashed = hashed.where(F.col("h") < int(2**64 * (1.2 * most / n)) - 2**63)
+    picked = hashed.dropDuplicates(["h"]).orderBy("h").limit(most).collect()
     return np.array([r.x for r in picked], np.float64).reshape(len(picked), len(NAMES))
 
 

@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingguard.llm import decontaminate, katz, lengths, linespread, mixing, pivots, purisk, simhash, toxicity, warcstore
+from listingguard.llm import decontaminate, importance, katz, lengths, linespread, mixing, pivots, purisk, simhash, toxicity, urlfilter, warcstore, whiten
 from listingguard.llm.common import crc_mod, read
 from listingguard.sources.stage import work_dir
 
@@ -66,6 +66,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten.whiten(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urlfilter.judge(read(spark, sf_dir, "pages"), urlfilter.fit(urlfilter.labelled_urls(spark)))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -94,6 +109,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_token_counts": op9_token_counts,
         "op10_simhash": op10_simhash,
+        "op11_whitening": op11_whitening,
+        "op12_url_filters": op12_url_filters,
+        "op13_importance": op13_importance,
     }
 
 
@@ -103,4 +121,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_dedup": linespread.SQL,
         "op5_mixing": mixing.SQL,
         "op8_warc": OP8_SQL,
+        "op13_importance": importance.SQL,
     }

@@ -113,7 +113,7 @@ def test_spread_histories(spark, monkeypatch):
     docs = spark.createDataFrame(data, "doc_id long, text string")
     monkeypatch.setattr(katz, "BUCKET_BYTES", 200)
     whole = {r.doc_id: r.score for r in katz.score(docs, F.lit(True)).collect()}
-    plain = Plain([t for _, t in data], 2)
+    plain = Plain([t for _, t in data], katz.ORDER)
     for i, t in data:
         assert whole[i] == pytest.approx(plain.score(t), rel=1e-9)
 
