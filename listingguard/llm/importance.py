@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listingguard.llm import flat
 from listingguard.sources.stage import in_parallel, materialize
 
 BUCKETS = 10_000
@@ -35,6 +36,8 @@ SEED = "2024"
 UNIT = 1000
 #: Width of the bins of the score histogram that finds where the draw ends.
 SCORE_BIN = 64
+#: Words whose checksums are handled together.
+SLICE_WORDS = 200_000
 
 #: Bytes that separate words become a space; A-Z become lower case.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -99,14 +102,28 @@ def prefixes(texts: DataFrame, keys: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [running(t.as_py() or b"") for t in batch.column("text").cast(pa.large_binary())]
-            crcs, sizes = (pa.array([x[i].tobytes() for x in found], pa.binary()) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), crcs, sizes], [*keys, "crcs", "sizes"])
+            for a, b, data, offsets in flat.chunks(batch.column("text")):
+                body, cuts = data.tobytes(), offsets.tolist()
+                found = [tuple(part.tobytes() for part in running(body[x:y])) for x, y in zip(cuts, cuts[1:])]
+                crcs, sizes = (pa.array([x[i] for x in found], pa.binary()) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in keys), crcs, sizes], [*keys, "crcs", "sizes"])
 
     kinds = [f"{k} {texts.schema[k].dataType.simpleString()}" for k in keys]
     return texts.select(*keys, "text").mapInArrow(run, ", ".join([*kinds, "crcs binary", "sizes binary"]))
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of up to ``SLICE_WORDS`` words together; a longer document is a slice of its own."""
+    for batch in batches:
+        reach = np.cumsum(np.array([len(c.as_buffer()) // 4 for c in batch.column("crcs")], np.int64))
+        at = 0
+        while at < batch.num_rows:
+            done = reach[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(reach, done + SLICE_WORDS, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All 32-bit values of a binary column, and the number in each row."""
     cells = [c.as_buffer() for c in column]
@@ -136,7 +153,7 @@ def bucket_counts(stored: DataFrame, most: int = MAX_N, buckets: int = BUCKETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for _, crc in feature_crcs(batch, most):
                 total += np.bincount((crc % np.uint32(buckets)).astype(np.int64), minlength=buckets)
         used = np.flatnonzero(total)
@@ -159,7 +176,7 @@ def weights(stored: DataFrame, keys: list[str], gain: np.ndarray, most: int = MA
     """``keys``, n_words, n_features and weight of every stored row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = batch.num_rows
             n_words = _numbers(batch.column("crcs"))[1]
             features, total = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
