@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingguard.config import SETTINGS
 from listingguard.functions.exprs import ratio, report_round
 from listingguard.operators.lookup import fits_broadcast
-from listingguard.operators.ordered import group_quantiles
+from listingguard.operators.ordered import group_quantiles, running_totals, value_counts
+from listingguard.sources.stage import materialize
 
 
 def price_stats(df: DataFrame, by: Sequence[str] = ("city",)) -> DataFrame:
@@ -64,12 +65,60 @@ def report(drifted: DataFrame, key: str = "city", retrain_above: int = SETTINGS.
     )
 
 
+def save_baseline(stats: DataFrame, path: str) -> None:
+    """Keep the statistics of the training period, with the model or beside it."""
+    stats.write.mode("errorifexists").parquet(path)
+
+
+def load_baseline(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def price_counts(dated: DataFrame, place: str) -> DataFrame:
+    """(month, place, price, n): the state of a month. Counts of several deliveries of a month add up, and all statistics follow from them."""
+    return value_counts(dated.select("month", place, F.col("price").cast("double").alias("price")), ["month", place], "price")
+
+
+def store_counts(counts: DataFrame, path: str, delivery: str) -> None:
+    """Keep the counts of one delivery; the same delivery again replaces its own."""
+    out = counts.withColumn("delivery", F.lit(delivery))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "delivery").parquet(path)
+
+
+def stats_of_counts(counts: DataFrame, place: str) -> DataFrame:
+    """(month, place, median, std, count) of stored counts, exact; groups of any size are split by value."""
+    summed = counts.where(F.col("month").isNotNull() & F.col(place).isNotNull()).groupBy("month", place, "price").agg(F.sum("n").alias("n"))
+    placed = running_totals(materialize(summed, "drift_counts"), ["month", place], "price", ["n"])
+    middle = (F.col("total_n") - 1) * 0.5
+    low, high = F.floor(middle), F.ceil(middle)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n")), F.col("price")))
+
+    mixed = F.max(high - middle) * at(low) + F.max(middle - low) * at(high)
+    mean = F.sum(F.col("price") * F.col("n")) / F.max("total_n")
+    first = placed.groupBy("month", place).agg(
+        F.when(at(low) == at(high), at(low)).otherwise(mixed).alias("median"), F.max("total_n").alias("count"), mean.alias("_mean")
+    )
+    spread = summed.join(first.select("month", place, "_mean"), ["month", place]).groupBy("month", place)
+    squares = spread.agg(F.sum(F.col("n") * (F.col("price") - F.col("_mean")) ** 2).alias("_squares"))
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_squares") / (F.col("count") - 1)))
+    return first.join(squares, ["month", place]).select("month", place, "median", std.alias("std"), "count")
+
+
 def monthly(
     dated: DataFrame, baseline: DataFrame, key: str, retrain_above: int = SETTINGS.drift_retrain_above
 ) -> DataFrame:
     """The monthly job over every later month of a table at once: drifted places and the retrain flag per month."""
-    found = detect(price_stats(dated, ["month", key]), baseline, key)
     months = dated.where(F.col("month").isNotNull()).select("month").distinct()
+    return monthly_report(price_stats(dated, ["month", key]), months, baseline, key, retrain_above)
+
+
+def monthly_report(
+    stats: DataFrame, months: DataFrame, baseline: DataFrame, key: str, retrain_above: int = SETTINGS.drift_retrain_above
+) -> DataFrame:
+    """One row for each of ``months`` from the statistics per month and place."""
+    found = detect(stats, baseline, key)
     counts = found.groupBy("month").agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("direction") == "UP", 1)).alias("up"),

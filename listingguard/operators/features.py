@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingguard.config import CATEGORICAL, FOLD_DEPENDENT, NUMERIC, SETTINGS, STATELESS, LabelRules
 from listingguard.functions.exprs import flag, parse_date, ratio
 from listingguard.operators.lookup import left_lookup
-from listingguard.operators.ordered import exact_quantiles, group_quantiles
+from listingguard.operators.ordered import exact_quantiles, group_quantiles, running_totals
 from listingguard.operators.profile import melt
 from listingguard.sources.stage import in_parallel, materialize
 
@@ -100,6 +100,70 @@ def city_rates(df: DataFrame, label: str, rules: LabelRules = LabelRules(), by:
     return agg.where(F.col("_n") >= rules.min_city_listings).select(*by, "city", "city_fraud_rate")
 
 
+def _of_fold(table: DataFrame, k: int) -> DataFrame:
+    return table.where(F.col("cv_fold") == k).drop("cv_fold")
+
+
+def left_out_medians(rows: DataFrame, key: str, value: str, folds: int, name: str, least: int) -> DataFrame:
+    """(cv_fold, key, name, n): the median of each key's values outside each fold, for keys with ``least`` of them.
+
+    Values are counted once per key, with a count outside each fold beside each other; running totals of these counts hold every
+    fold's median, so no row is copied.
+    """
+    present = rows.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    outside = [f"_x{k}" for k in range(folds)]
+    counts = present.groupBy(key, value).agg(*[F.count(F.when(F.col("fold") != k, 1)).alias(x) for k, x in enumerate(outside)])
+    placed = running_totals(materialize(counts, "left_out_counts"), [key], value, outside)
+    cells = []
+    for k, x in enumerate(outside):
+        total, start = F.col(f"total_{x}"), F.col(f"before_{x}")
+        middle = (total - 1) * 0.5
+        low, high = F.floor(middle), F.ceil(middle)
+
+        def at(rank):
+            return F.max(F.when((start <= rank) & (rank < start + F.col(x)), F.col(value)))
+
+        near, far = at(low), at(high)
+        mixed = F.max(high - middle) * near + F.max(middle - low) * far
+        cells.append(F.struct(F.lit(k).alias("cv_fold"), F.when(near == far, near).otherwise(mixed).alias(name), F.max(total).alias("n")))
+    table = placed.groupBy(key).agg(*[c.alias(f"c{k}") for k, c in enumerate(cells)])
+    each = table.select(key, F.explode(F.array(*[F.col(f"c{k}") for k in range(folds)])).alias("c")).select("c.cv_fold", key, f"c.{name}", "c.n")
+    return each.where(F.col("n") >= least)
+
+
+def left_out_totals(rows: DataFrame, key: str, folds: int, sums: dict[str, Column]) -> DataFrame:
+    """(cv_fold, key, sums): totals of each key over the rows outside each fold: those of all rows less those of the fold."""
+    per = rows.where(F.col(key).isNotNull()).groupBy(key, "fold").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    own = per.groupBy(key).agg(
+        *[F.sum(n).alias(n) for n in sums],
+        *[F.coalesce(F.sum(F.when(F.col("fold") == k, F.col(n))), F.lit(0)).alias(f"_{n}{k}") for k in range(folds) for n in sums],
+    )
+    cells = [F.struct(F.lit(k).alias("cv_fold"), *[(F.col(n) - F.col(f"_{n}{k}")).alias(n) for n in sums]) for k in range(folds)]
+    return own.select(key, F.explode(F.array(*cells)).alias("c")).select("c.cv_fold", key, *[f"c.{n}" for n in sums])
+
+
+def fit_left_out(rows: DataFrame, folds: int, label: str = "is_fraud", rules: LabelRules = LabelRules()) -> FeatureStats:
+    """``fit_features`` by ``cv_fold`` for the training rows of every fold, from rows that carry their own ``fold`` once."""
+
+    def city() -> DataFrame:
+        medians = left_out_medians(rows, "city", "price", folds, "city_median_price", rules.min_city_listings).drop("n")
+        sums = left_out_totals(rows, "city", folds, {"_rows": F.lit(1), "_label": F.col(label).cast("long")})
+        rate = (F.col("_label").cast("double") / F.col("_rows")).alias("city_fraud_rate")
+        joined = medians.join(sums, ["cv_fold", "city"]).select("cv_fold", "city", "city_median_price", rate)
+        return materialize(joined, "feature_city")
+
+    def state() -> DataFrame:
+        table = left_out_medians(rows, "state", "price", folds, "state_median_price", rules.min_state_listings)
+        return materialize(table.drop("n"), "feature_state")
+
+    def zip_code() -> DataFrame:
+        table = left_out_totals(rows, "zip_code", folds, {"zip_listing_count": F.lit(1)})
+        return materialize(table.where(F.col("zip_listing_count") > 0), "feature_zip")
+
+    city_t, state_t, zip_t = in_parallel(city, state, zip_code)
+    return FeatureStats(("cv_fold",), city_t, state_t, zip_t, materialize(_fallback(city_t, state_t, ("cv_fold",), True), "feature_fallback"))
+
+
 @dataclass(frozen=True)
 class FeatureStats:
     """Fitted lookups; ``fallback`` has one row per ``by`` value."""
@@ -110,6 +174,10 @@ class FeatureStats:
     zip_code: DataFrame
     fallback: DataFrame
 
+    def of(self, k: int) -> FeatureStats:
+        """The statistics of one fold, as those of a single fit."""
+        return FeatureStats((), *[_of_fold(t, k) for t in (self.city, self.state, self.zip_code, self.fallback)])
+
 
 def fit_features(
     df: DataFrame, label: str | None = "is_fraud", rules: LabelRules = LabelRules(), by: Keys = ()
@@ -129,14 +197,18 @@ def fit_features(
         lambda: materialize(state_medians(df, rules, by), "feature_state"),
         lambda: materialize(zip_frequency(df, by), "feature_zip"),
     )
-    mid_city = exact_quantiles(city_t, by, "city_median_price", {"_city_mid": 0.5}, few_groups=True).drop("n")
-    mid_state = exact_quantiles(state_t, by, "state_median_price", {"_state_mid": 0.5}, few_groups=True).drop("n")
-    fallback = join_scalars(mid_city, mid_state, by)
-    if label:
-        fallback = join_scalars(fallback, city_t.groupBy(*by).agg(F.avg("city_fraud_rate").alias("_rate_mean")), by)
+    fallback = _fallback(city_t, state_t, by, bool(label))
     return FeatureStats(tuple(by), city_t, state_t, zip_t, materialize(fallback, "feature_fallback"))
 
 
+def _fallback(city: DataFrame, state: DataFrame, by: Keys, rated: bool) -> DataFrame:
+    """What unknown places get: the median of the city (state) medians and the mean of the city rates."""
+    mid_city = exact_quantiles(city, by, "city_median_price", {"_city_mid": 0.5}, few_groups=True).drop("n")
+    mid_state = exact_quantiles(state, by, "state_median_price", {"_state_mid": 0.5}, few_groups=True).drop("n")
+    out = join_scalars(mid_city, mid_state, by)
+    return join_scalars(out, city.groupBy(*by).agg(F.avg("city_fraud_rate").alias("_rate_mean")), by) if rated else out
+
+
 def apply_features(df: DataFrame, stats: FeatureStats) -> DataFrame:
     by = list(stats.by)
     out = left_lookup(df, stats.city, [*by, "city"])
@@ -166,6 +238,11 @@ class Preprocessor:
     modes: DataFrame  # by…, mode_<c>
     codes: dict[str, DataFrame]  # per categorical column: by…, <c>, code_<c>
 
+    def of(self, k: int) -> Preprocessor:
+        """The fit of one fold, as a single one."""
+        codes = {c: _of_fold(t, k) for c, t in self.codes.items()}
+        return Preprocessor((), self.numeric, self.categorical, _of_fold(self.numbers, k), _of_fold(self.modes, k), codes)
+
 
 def fit_medians(df: DataFrame, columns: Keys, by: Keys = ()) -> DataFrame:
     q = exact_quantiles(melt(df, columns, by), [*by, "feature"], "value", {"mid": 0.5}, few_groups=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -139,14 +140,27 @@ def duplicate_keys(df: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame
 
     Only key-level aggregates are shuffled, after a map-side combine; no group of listings is ever gathered.
     """
+    return repeated_keys(key_totals(df), zip_totals(df) if "zip_code" in df.columns else None, rules)
+
+
+def key_totals(df: DataFrame) -> DataFrame:
+    """Count, least and largest price per duplicate key. Totals of parts merge into those of the whole."""
     keyed, key = _keyed(df)
-    per_key = keyed.dropna(subset=key).groupBy(*key).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("price").alias("_lo"), F.max("price").alias("_hi")
-    )
+    per_key = keyed.dropna(subset=key).groupBy(*key)
+    return per_key.agg(F.count(F.lit(1)).alias("_n"), F.min("price").alias("_lo"), F.max("price").alias("_hi"))
+
+
+def zip_totals(df: DataFrame) -> DataFrame:
+    """Listings per zip."""
+    return df.where(F.col("zip_code").isNotNull()).groupBy("zip_code").agg(F.count(F.lit(1)).alias("_zip_n"))
+
+
+def repeated_keys(per_key: DataFrame, per_zip: DataFrame | None, rules: LabelRules = LabelRules()) -> DataFrame:
+    """The keys of ``key_totals`` that carry more than one price, in zips with enough listings."""
+    key = [c for c in per_key.columns if c not in ("_n", "_lo", "_hi")]
     repeated = per_key.where(F.col("_lo") < F.col("_hi"))
-    if "zip_code" in key:
-        busy = df.where(F.col("zip_code").isNotNull()).groupBy("zip_code").agg(F.count(F.lit(1)).alias("_zip_n"))
-        busy = busy.where(F.col("_zip_n") >= rules.duplicate_min_zip_listings).select("zip_code")
+    if per_zip is not None:
+        busy = per_zip.where(F.col("_zip_n") >= rules.duplicate_min_zip_listings).select("zip_code")
         repeated = repeated.join(busy, "zip_code", "left_semi")
     return repeated.select(*key, "_n", F.lit(1).alias("rule_duplicate"))
 
@@ -194,11 +208,15 @@ def apply_labels(
     """All rule flags, ``fraud_score`` and ``is_fraud`` on top of the input columns."""
     size_median = size_median if size_median is not None else batch_median_size(df)
     ruled = price_rules(enrich(df, stats, size_median), stats, rules)
-    ruled = flag_duplicates(ruled, rules, duplicates)
+    return with_totals(flag_duplicates(ruled, rules, duplicates), df.columns, rules)
+
+
+def with_totals(ruled: DataFrame, columns: Sequence[str], rules: LabelRules = LabelRules()) -> DataFrame:
+    """``columns``, the seven flags, and score and label from them."""
     total = sum((F.col(r) for r in RULES[1:]), F.col(RULES[0]))
     scored = ruled.withColumn("fraud_score", total)
     return scored.withColumn("is_fraud", flag(F.col("fraud_score") >= rules.min_fraud_score)).select(
-        *df.columns, *RULES, "fraud_score", "is_fraud"
+        *columns, *RULES, "fraud_score", "is_fraud"
     )
 
 

@@ -6,6 +6,7 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -18,9 +19,12 @@ from listingguard.config import SETTINGS
 from listingguard.functions.exprs import report_round
 from listingguard.operators import features as fe
 from listingguard.operators import text as tx
+from listingguard.operators.bundle import Bundle
+from listingguard.operators.estimators import ListingVectorModel, PlaceFeaturesModel
+from listingguard.operators.ledger import FitLedger, content_key
 from listingguard.operators.metrics import _curve_metrics, curve, evaluate, long_scores
 from listingguard.operators.predlog import tier
-from listingguard.operators.splits import expand_folds, with_group_folds
+from listingguard.operators.splits import with_group_folds
 from listingguard.sources.stage import in_parallel, materialize, work_dir
 
 
@@ -40,6 +44,10 @@ class TreeParams:
 TUNED = TreeParams(306, 0.07543753502638627, 5, 22, 0.8359541264922199, 0.7878169701860978)
 
 
+#: Training rows that one task of a boosting round takes.
+ROWS_PER_TASK = 100_000
+
+
 def probability(model: Model, df: DataFrame, name: str) -> DataFrame:
     return model.transform(df).withColumn(name, vector_to_array("probability")[1])
 
@@ -79,6 +87,8 @@ def fit_trees(
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:  # cuts the lineage that grows with each boosting round
         context.setCheckpointDir(f"{work_dir(df.sparkSession)}/rounds")
+    # A round is one short job per level: a small table is kept in few partitions, a large one as it is read.
+    df = df.coalesce(max(1, math.ceil(df.count() / ROWS_PER_TASK)))
     est = GBTClassifier(
         labelCol=label,
         featuresCol=features,
@@ -95,21 +105,35 @@ def fit_trees(
     return est.fit(df.withColumn("_w", F.when(F.col(label) == 1, float(positive_weight)).otherwise(1.0)))
 
 
-def fold_matrix(df: DataFrame, folds: int = SETTINGS.cv_folds, label: str = "is_fraud") -> DataFrame:
-    """Model matrix of every fold in one table: (cv_fold, is_train, listing_id, label, features).
+def fold_matrix(df: DataFrame, folds: int = SETTINGS.cv_folds, label: str = "is_fraud", written: bool = False) -> DataFrame:
+    """Model matrix of every fold: (cv_fold, is_train, listing_id, label, features).
 
-    ``df`` has a ``fold`` column. All fitted statistics come from the training rows of their fold and are computed for
-    all folds together. The table is partitioned by fold, so one fold's fit scans one folder.
+    ``df`` has a ``fold`` column. The fitted statistics of all folds come from one pass that counts every row once
+    (``fit_left_out``). The matrix is a view, one branch per fold over the same rows: a filter on ``cv_fold`` leaves one branch, and no
+    row is written more than once. ``written`` stores it by fold, for callers that read each fold many times.
     """
-    rows = expand_folds(df.select("listing_id", "fold", label, *fe.NUMERIC, *fe.CATEGORICAL, "city", "zip_code", "prev_sold_date"), folds)
-    train = rows.where("is_train")
-    stats = fe.fit_features(train, label, by=["cv_fold"])
-    eng = materialize(fe.engineered(rows, stats), "fold_features")
+    kept = df.select("listing_id", "fold", label, *fe.NUMERIC, *fe.CATEGORICAL, "city", "zip_code", "prev_sold_date")
+    rows = materialize(kept, "fold_rows")
+    stats = fe.fit_left_out(rows, folds, label)
+    eng = fe.engineered(_per_fold(rows, folds), stats).persist()  # read several times, by executors that hold it
     prep = fe.fit_preprocessor(eng.where("is_train"), by=["cv_fold"])
+    eng.unpersist()
     vector = F.array(*[F.col(c).cast("double") for c in fe.feature_names()])
-    out = fe.preprocess(eng.withColumn("label", F.col(label).cast("double")), prep)
-    out = out.select("cv_fold", "is_train", "listing_id", "label", vector.alias("x"))
-    return materialize(out, "fold_matrix", ["cv_fold"])
+
+    def one(k: int) -> DataFrame:
+        mine = fe.preprocess(fe.engineered(_in_fold(rows, k), stats.of(k)), prep.of(k))
+        return mine.select("cv_fold", "is_train", "listing_id", F.col(label).cast("double").alias("label"), vector.alias("x"))
+
+    out = reduce(DataFrame.unionByName, [one(k) for k in range(folds)])
+    return materialize(out, "fold_matrix", ["cv_fold"]) if written else out
+
+
+def _in_fold(rows: DataFrame, k: int) -> DataFrame:
+    return rows.withColumns({"cv_fold": F.lit(k), "is_train": F.col("fold") != k})
+
+
+def _per_fold(rows: DataFrame, folds: int) -> DataFrame:
+    return reduce(DataFrame.unionByName, [_in_fold(rows, k) for k in range(folds)])
 
 
 def with_vector(matrix: DataFrame, column: str = "x") -> DataFrame:
@@ -122,32 +146,48 @@ def cross_validate(
     name: str = "p",
     folds: int = SETTINGS.cv_folds,
     threads: int = 5,
+    ledger: FitLedger | None = None,
+    settings: object = None,
 ) -> DataFrame:
-    """Out-of-fold scores (listing_id, fold, y_true, name): each fold fitted on its training rows, fits side by side."""
+    """Out-of-fold scores (listing_id, fold, y_true, name): each fold fitted on its training rows, fits side by side.
+
+    With a ``ledger`` every fitted fold is saved under its rows and ``settings``; a restart fits the folds that are not there.
+    """
 
     def one(k: int) -> DataFrame:
-        fold = matrix.where(F.col("cv_fold") == k)
-        # The estimators cache their own compact form of the input.
-        model = fit(with_vector(fold.where("is_train")).select("listing_id", "label", "features"))
+        fold = matrix.where(F.col("cv_fold") == k).persist()
+        train = fold.where("is_train").select("listing_id", "label", "x")
+
+        def fitted() -> Model:  # the estimators cache their own compact form of the input
+            return fit(with_vector(train).select("listing_id", "label", "features"))
+
+        model = ledger.model(f"{name}-{content_key(train, name, settings)}", fitted) if ledger else fitted()
         scored = probability(model, with_vector(fold.where(~F.col("is_train"))), name)
-        return scored.select("listing_id", F.lit(k).alias("fold"), F.col("label").cast("int").alias("y_true"), name)
+        scored = scored.select("listing_id", F.lit(k).alias("fold"), F.col("label").cast("int").alias("y_true"), name)
+        done = materialize(scored, f"oof_{name}")
+        fold.unpersist()
+        return done
 
-    parts = in_parallel(*[lambda k=k: one(k) for k in range(folds)], threads=threads)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return materialize(out, f"oof_{name}")
+    return reduce(DataFrame.unionByName, in_parallel(*[lambda k=k: one(k) for k in range(folds)], threads=threads))
 
 
-def cv_logistic(matrix: DataFrame, folds: int = SETTINGS.cv_folds, c: float = 1.0) -> DataFrame:
-    return cross_validate(matrix, lambda t: fit_logistic(t, c), "lr", folds)
+def cv_logistic(
+    matrix: DataFrame, folds: int = SETTINGS.cv_folds, c: float = 1.0, ledger: FitLedger | None = None
+) -> DataFrame:
+    return cross_validate(matrix, lambda t: fit_logistic(t, c), "lr", folds, ledger=ledger, settings=c)
 
 
-def cv_trees(matrix: DataFrame, params: TreeParams, folds: int = SETTINGS.cv_folds, name: str = "gbt") -> DataFrame:
-    # Every row is in exactly one validation part, so these are the counts of the whole input.
-    n, p = _counts(matrix.where(~F.col("is_train")), "label")
+def cv_trees(
+    matrix: DataFrame,
+    params: TreeParams,
+    folds: int = SETTINGS.cv_folds,
+    name: str = "gbt",
+    ledger: FitLedger | None = None,
+) -> DataFrame:
+    # Every fold holds every row, to train on or to validate with, so these are the counts of the whole input.
+    n, p = _counts(matrix.where(F.col("cv_fold") == 0), "label")
     weight = scale_pos_weight(n, p)
-    return cross_validate(matrix, lambda t: fit_trees(t, params, weight), name, folds)
+    return cross_validate(matrix, lambda t: fit_trees(t, params, weight), name, folds, ledger=ledger, settings=(params, weight))
 
 
 def add_text(matrix: DataFrame, listings: DataFrame, text: str = "description", folds: int = SETTINGS.cv_folds) -> DataFrame:
@@ -218,15 +258,35 @@ def fit_stack(oof: DataFrame, columns: Sequence[str], label: str = "y_true", met
     return Stack(tuple(columns), meta, platt)
 
 
-@dataclass(frozen=True)
-class Scorer:
-    """Everything needed to score new listings."""
+class Scorer(Bundle):
+    """Everything needed to score new listings: fitted statistics, preprocessing, both models, the stack and the order of the inputs.
+
+    ``scorer.write().save(path)`` and ``Scorer.load(path)`` keep it on disk; a saved scorer whose inputs have another order than this
+    code's is refused.
+    """
 
-    stats: fe.FeatureStats
-    prep: fe.Preprocessor
-    lr: Model
-    gbt: Model
-    stack: Stack
+    def __init__(self, stats: fe.FeatureStats, prep: fe.Preprocessor, lr: Model, gbt: Model, stack: Stack) -> None:
+        super().__init__()
+        self.stats, self.prep, self.lr, self.gbt, self.stack = stats, prep, lr, gbt, stack
+
+    def _facts(self):
+        return {"features": fe.feature_names(), "stack": list(self.stack.columns), "model_version": SETTINGS.model_version}
+
+    def _parts(self):
+        fitted = {"places": PlaceFeaturesModel(self.stats), "vector": ListingVectorModel(self.prep)}
+        return {**fitted, "lr": self.lr, "gbt": self.gbt, "meta": self.stack.meta, "platt": self.stack.platt}
+
+    @classmethod
+    def _restored(cls, facts, tables, parts):
+        prep = parts["vector"].prep
+        inputs = fe.feature_names()
+        if facts["features"] != inputs or [*prep.numeric, *prep.categorical] != inputs:
+            raise ValueError(f"the saved model takes {facts['features']}, this code makes {inputs}")
+        for name in ("lr", "gbt"):
+            if parts[name].numFeatures != len(inputs):
+                raise ValueError(f"the saved model {name} takes {parts[name].numFeatures} inputs, not {len(inputs)}")
+        stack = Stack(tuple(facts["stack"]), parts["meta"], parts["platt"])
+        return cls(parts["places"].stats, prep, parts["lr"], parts["gbt"], stack)
 
     def matrix(self, listings: DataFrame) -> DataFrame:
         ready = fe.preprocess(fe.engineered(listings, self.stats), self.prep)
@@ -251,18 +311,32 @@ class Scorer:
         )
 
 
-def fit_scorer(labeled: DataFrame, stack: Stack, params: TreeParams, label: str = "is_fraud") -> Scorer:
-    """Final models on all training rows; the stack comes from the out-of-fold scores."""
+def fit_final(
+    labeled: DataFrame, params: TreeParams, label: str = "is_fraud", ledger: FitLedger | None = None
+) -> tuple[fe.FeatureStats, fe.Preprocessor, Model, Model]:
+    """Statistics, preprocessing and both models on all training rows."""
     stats = fe.fit_features(labeled, label)
     eng = materialize(fe.engineered(labeled, stats), "train_features")
     prep = fe.fit_preprocessor(eng)
     vector = F.array(*[F.col(c).cast("double") for c in fe.feature_names()])
     ready = fe.preprocess(eng.withColumn("label", F.col(label).cast("double")), prep)
     train = materialize(ready.select("listing_id", "label", vector.alias("x")), "train_matrix")
-    train = with_vector(train)
     n, p = _counts(train, "label")
-    lr, gbt = in_parallel(lambda: fit_logistic(train), lambda: fit_trees(train, params, scale_pos_weight(n, p)))
-    return Scorer(stats, prep, lr, gbt, stack)
+    weight = scale_pos_weight(n, p)
+
+    def trees() -> Model:
+        return fit_trees(with_vector(train), params, weight)
+
+    def kept() -> Model:
+        return ledger.model(f"final-{content_key(train, params, weight)}", trees) if ledger else trees()
+
+    lr, gbt = in_parallel(lambda: fit_logistic(with_vector(train)), kept)
+    return stats, prep, lr, gbt
+
+
+def fit_scorer(labeled: DataFrame, stack: Stack, params: TreeParams, label: str = "is_fraud", ledger: FitLedger | None = None) -> Scorer:
+    """Final models on all training rows; the stack comes from the out-of-fold scores."""
+    return Scorer(*fit_final(labeled, params, label, ledger), stack)
 
 
 @dataclass(frozen=True)
@@ -317,14 +391,14 @@ def nested_search(
     path = checkpoint or f"{work_dir(spark)}/search-{seed}-{trials}-{outer}-{inner}-{random.SystemRandom().getrandbits(48):x}"
     done = _finished_folds(spark, path)
     rows = materialize(with_group_folds(labeled.drop("fold"), folds=outer), "search_rows")
-    outer_matrix = fold_matrix(rows, outer, label)
+    outer_matrix = fold_matrix(rows, outer, label, written=True)
     n, p = _counts(labeled, label)
     weight = scale_pos_weight(n, p)
     for k in range(outer):
         if k in done:
             continue
         train = rows.where(F.col("fold") != k).drop("fold")
-        matrix = fold_matrix(with_group_folds(train, folds=inner), inner, label)
+        matrix = fold_matrix(with_group_folds(train, folds=inner), inner, label, written=True)
         rng = random.Random(seed * 1000 + k)
         best: tuple[float, TreeParams] | None = None
         for _ in range(trials):

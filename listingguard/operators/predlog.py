@@ -10,6 +10,7 @@ from listingguard.functions.exprs import flag, parse_date, ratio, report_round,
 from listingguard.operators.lookup import with_scalars
 from listingguard.operators.ordered import exact_quantiles
 from listingguard.operators.profile import histogram
+from listingguard.sources.versioned import SnapshotTable
 
 
 def key_hash(key: str | Column) -> Column:
@@ -64,6 +65,25 @@ def page(log: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:
     return log.orderBy(F.desc("created_at"), "id").offset(offset).limit(limit)
 
 
+def clustered(log: DataFrame) -> DataFrame:
+    """The log in the order of its pages, for writing: a file covers a range of times, so that a later page reads few of them."""
+    return log.repartitionByRange(F.desc("created_at"), "id").sortWithinPartitions(F.desc("created_at"), "id")
+
+
+def page_after(log: DataFrame, limit: int = 50, last: tuple | None = None) -> DataFrame:
+    """The page after the row with (created_at, id) = ``last``; the first page without it.
+
+    The cut is a filter that reaches the scan. Unlike an offset it does not sort the rows of the pages before.
+    """
+    if not 1 <= limit <= 500:
+        raise ValueError("limit must be 1…500")
+    if last is not None:
+        when, id_ = F.lit(last[0]).cast(log.schema["created_at"].dataType), F.lit(last[1])
+        at = F.col("created_at")
+        log = log.where((at <= when) & ((at < when) | (F.col("id") > id_)))
+    return log.orderBy(F.desc("created_at"), "id").limit(limit)
+
+
 def by_id(log: DataFrame, id_: str) -> DataFrame:
     return log.where(F.col("id") == id_).limit(1)
 
@@ -139,6 +159,12 @@ def register(registry: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new.withColumn("is_active", F.col("stage") == "Production"))
 
 
+def register_committed(table: SnapshotTable, new: DataFrame) -> int:
+    """``register`` on the stored registry; the number of the version that holds the new row."""
+    empty = new.limit(0).withColumn("is_active", F.lit(False))
+    return table.change(lambda now: register(empty if now is None else now, new))
+
+
 def active(registry: DataFrame) -> DataFrame:
     """The active model, the latest one if there are several."""
     return registry.where("is_active").orderBy(F.desc("registered_at"), F.desc("id")).limit(1)

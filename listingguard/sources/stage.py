@@ -14,9 +14,12 @@ import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import Future, ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 _dirs: dict[str, str] = {}
 _memo: dict[tuple[str, str, str, str], Future] = {}
 _lock = threading.Lock()  # guards the two tables above; no job runs under it
@@ -72,15 +75,18 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The stage ``name`` of one source folder, built at its first use and again when the folder's files have changed."""
+def once(spark: SparkSession, source: str, name: str, build: Callable[[], T]) -> T:
+    """The result ``name`` of one source folder, built at its first use and again when the folder's files have changed.
+
+    Callers of the same result wait for the one that builds it; no lock is held meanwhile.
+    """
     key = (spark.sparkContext.applicationId, source, name, contents(spark, source))
     with _lock:
         mine = key not in _memo
         ready = _memo.setdefault(key, Future())
     if mine:
         try:
-            ready.set_result(materialize(build(), name))
+            ready.set_result(build())
         except BaseException as err:
             with _lock:
                 del _memo[key]  # the next caller tries again
@@ -89,6 +95,11 @@ def stage(spark: SparkSession, source: str, name: str, build: Callable[[], DataF
     return ready.result()
 
 
+def stage(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``once`` for a table, which is written."""
+    return once(spark, source, name, lambda: materialize(build(), name))
+
+
 def in_parallel(*jobs: Callable[[], object], threads: int = 8) -> list:
     """Submit independent Spark jobs at the same time, so that short stages fill the cluster together."""
     with ThreadPoolExecutor(max_workers=min(threads, len(jobs))) as pool:

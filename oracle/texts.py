@@ -758,6 +758,17 @@ LEFT JOIN (SELECT risk_tier, substr(string_agg(substr(d.text, 1, 1500), chr(10)
     FROM (SELECT risk_tier, list_filter(list_distinct(regexp_extract_all(lower(concat('threshold risk tier ', risk_tier, ' price anomaly fraud signal')), '{_WORD}')), lambda w: w NOT IN ({_STOP})) AS terms
       FROM (VALUES ('HIGH'), ('MEDIUM'), ('LOW')) v(risk_tier)), low_docs) h JOIN documents d ON h.doc_id = d.doc_id WHERE rk <= 2 GROUP BY risk_tier) c ON c.risk_tier = t.risk_tier"""
 
+# The same results by other ways through the library.
+for _name, _same in {
+    "pipeline_label_holdout": "label_holdout",
+    "pipeline_fold_features_holdout": "fold_features_holdout",
+    "drift_jobs": "drift_by_month",
+    "history_seek": "history_page",
+    "log_append_repeated": "prediction_log_rows",
+    "registry_committed": "registry_upsert",
+}.items():
+    Q[_name] = Q[_same]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in Q.items()}

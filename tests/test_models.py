@@ -9,16 +9,17 @@ from listingguard.operators import features as fe
 from listingguard.operators import models as mo
 from listingguard.operators import text as tx
 from listingguard.plans import catalog
+from tests.small import small_run
 
 
 @pytest.fixture(scope="module")
 def run(spark, sf_dir):
-    return catalog.model_run(spark, sf_dir)
+    return small_run(spark, sf_dir)
 
 
 @pytest.fixture(scope="module")
 def scorer(spark, sf_dir):
-    return catalog.model_scorer(spark, sf_dir)
+    return small_run(spark, sf_dir).scorer
 
 
 def test_each_city_is_in_one_fold(run):
