@@ -1,4 +1,4 @@
-"""URL rules against plain Python, and what the model does on hosts that it has not seen."""
+"""URL rules against plain Python, and what the model does on the hosts of the pages."""
 
 from collections import Counter
 
@@ -63,8 +63,8 @@ def test_rule_ties_in_spark(spark):
     }
 
 
-def test_unseen_hosts(spark):
-    """Hosts of the pages are not in the labelled table; their own table of unwanted names tells them apart."""
+def test_hosts_of_the_pages(spark):
+    """The hosts are not in the labelled table; the words of the unwanted ones are."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     unwanted = F.regexp_extract("url", "://([^/?#]*)", 1).rlike(r"(^|\.)(casino-win|free-bets|cheap-pills|ads-track|spam-farm|adult-x)\.")
     got = urlfilter.scored(pages, urlfilter.fit(urlfilter.labelled_urls(spark))).groupBy(unwanted.alias("bad")).agg(F.avg((F.col("score") >= 0.5).cast("int")).alias("share"))
