@@ -93,9 +93,3 @@ def with_group_folds(df: DataFrame, group: str = "city", folds: int = SETTINGS.c
     named = df.withColumn("_group", F.coalesce(group, F.lit(UNKNOWN_GROUP)))
     table = table.withColumnRenamed(group, "_group")
     return left_lookup(named, table, ["_group"], freq="_n").drop("_group")
-
-
-def expand_folds(df: DataFrame, folds: int = SETTINGS.cv_folds, fold: str = "fold") -> DataFrame:
-    """Every row once per fold ``cv_fold``, with ``is_train`` false only in its own fold."""
-    each = F.explode(F.array(*[F.lit(k) for k in range(folds)]))
-    return df.withColumn("cv_fold", each).withColumn("is_train", F.col("cv_fold") != F.col(fold))
