@@ -6,7 +6,7 @@ in a match and get no postings. ``matches`` takes each test window (``n`` consec
 window), finds its rarest term by corpus frequency and opens that term's postings: position minus offset gives the diagonals on which
 the item can stand. The lists of the other terms, shifted by their offsets, are intersected on those diagonals only; an unbroken run
 of a window's terms is an exact phrase match. ``near_matches`` asks only that enough different words of a window stand within a span
-of positions.
+of positions; it opens the postings of so many of the rarest words of a window that no match can do without all of them.
 
 Defined cases: a null or empty text has no words; an item without words has no window; a null item_id is listed as the empty text;
 rows of documents that share an id but not a text are separate rows; repeated rows are each reported; repeated items count
@@ -37,20 +37,20 @@ def with_next(ws: Column) -> Column:
     return F.transform(ws, lambda w, i: F.concat_ws(" ", w, F.get(ws, i + 1)))
 
 
-def item_terms(items: DataFrame, pairs: bool) -> DataFrame:
+def item_terms(items: DataFrame) -> DataFrame:
     """item_id, item, q (place), word (the term's text), n_terms and extra (words that a term covers beyond its first)."""
     one = F.size("ws") == 1
-    shown = F.when(one | F.lit(not pairs), F.col("ws")).otherwise(F.slice(with_next(F.col("ws")), 1, F.greatest(F.size("ws") - 1, F.lit(1))))
+    shown = F.when(one, F.col("ws")).otherwise(F.slice(with_next(F.col("ws")), 1, F.greatest(F.size("ws") - 1, F.lit(1))))
     return (
         items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), split_words(F.col("text")).alias("ws"))
         .where(F.size("ws") > 0)
         .distinct()
-        .select("item_id", F.xxhash64("item_id", "ws").alias("item"), F.when(one | F.lit(not pairs), 0).otherwise(1).alias("extra"), shown.alias("ts"))
+        .select("item_id", F.xxhash64("item_id", "ws").alias("item"), F.when(one, 0).otherwise(1).alias("extra"), shown.alias("ts"))
         .select("item_id", "item", "extra", F.size("ts").alias("n_terms"), F.posexplode("ts").alias("q", "word"))
     )
 
 
-def postings(docs: DataFrame, vocabulary: DataFrame, pairs: bool, singles: bool) -> DataFrame:
+def postings(docs: DataFrame, vocabulary: DataFrame, singles: bool) -> DataFrame:
     """term, doc_id, did, rid, pos for each term that ``vocabulary`` (word, term) has, and one end posting per row."""
     ends = vocabulary.sparkSession.createDataFrame([(END, END_TERM)], "word string, term long")
     listed = checked_broadcast(vocabulary.unionByName(ends), "vocabulary")
@@ -61,8 +61,8 @@ def postings(docs: DataFrame, vocabulary: DataFrame, pairs: bool, singles: bool)
         placed = split.select("doc_id", "did", "rid", F.posexplode(terms).alias("pos", "word"))
         return placed.join(listed, "word").select("term", "doc_id", "did", "rid", "pos")
 
-    stored = kept(F.array_append(with_next(ws) if pairs else ws, F.lit(END)))
-    return stored.unionByName(kept(ws)) if pairs and singles else stored
+    stored = kept(F.array_append(with_next(ws), F.lit(END)))
+    return stored.unionByName(kept(ws)) if singles else stored
 
 
 def anchors(items: DataFrame, frequency: DataFrame, n: int) -> DataFrame:
@@ -79,22 +79,19 @@ def anchors(items: DataFrame, frequency: DataFrame, n: int) -> DataFrame:
     )
 
 
-def index(docs: DataFrame, items: DataFrame, pairs: bool = True) -> tuple[DataFrame, DataFrame]:
+def index(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The stored postings, and the items' terms (item_id, item, extra, n_terms, q, term)."""
-    placed = materialize(item_terms(items, pairs), "item_terms")
+    placed = materialize(item_terms(items), "item_terms")
     vocabulary = materialize(placed.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "terms")
     singles = bool(placed.where("extra = 0").head(1))
     return (
-        materialize(postings(docs, vocabulary, pairs, singles), "postings"),
+        materialize(postings(docs, vocabulary, singles), "postings"),
         materialize(placed.join(vocabulary, "word").drop("word"), "item_places"),
     )
 
 
 def matches(stored: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """did, rid, item_id, first, last: the word positions of every maximal run that holds a window of the item.
-
-    Takes an index with pairs.
-    """
+    """did, rid, item_id, first, last: the word positions of every maximal run that holds a window of the item."""
     n = max(1, n - 1)  # terms of a window of n words
     frequency = stored.where(F.col("term") >= 0).groupBy("term").agg(F.count("*").alias("cf"))
     rare = checked_broadcast(anchors(items, frequency, n), "anchors")
@@ -123,31 +120,72 @@ def matches(stored: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     )
 
 
-def near_matches(stored: DataFrame, items: DataFrame, n: int = WINDOW, share: float = 0.8, slack: int = 4) -> DataFrame:
-    """did, rid, item_id, cell: documents where ``share`` of a window's terms or more stand within n + slack positions, in any order.
+def windows(items: DataFrame, n: int, share: float) -> DataFrame:
+    """item_id, window, words (its different words) and need (how many of them a near match has) for every window of every item."""
+    ws = F.col("ws")
+    starts = F.explode(F.sequence(F.lit(0), F.greatest(F.size(ws) - n, F.lit(0)))).alias("start")
+    return (
+        items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), split_words(F.col("text")).alias("ws"))
+        .where(F.size(ws) > 0)
+        .distinct()
+        .select("item_id", "ws", starts)
+        .select("item_id", F.array_sort(F.array_distinct(F.slice(ws, F.col("start") + 1, n))).alias("words"))
+        .distinct()
+        .select("item_id", F.xxhash64("item_id", "words").alias("window"), "words", F.ceil(F.round(F.size("words") * share, 6)).cast("int").alias("need"))
+    )
+
 
-    Positions are cut into cells of n + slack that overlap by half, so a match in any span of (n + slack) / 2 is found whole.
-    Takes an index without pairs.
+def near_matches(docs: DataFrame, items: DataFrame, n: int = WINDOW, share: float = 0.8, slack: int = 4) -> DataFrame:
+    """did, rid, item_id, first: documents in which ``share`` of an item window's different words or more stand, in any order, within
+    ``n + slack`` consecutive words, of which the first that fits for an opened posting begins at word ``first``.
+
+    Exact. Of d different words, of which ``need`` are asked for, every match has one of the d - need + 1 rarest: only the postings of these are
+    stored and opened. Around each, the document's words decide.
     """
     span = n + slack
-    half = span // 2
-    pairs = items.select("item", "item_id", "term", (F.col("q") / n).cast("int").alias("window")).distinct()
-    needed = pairs.groupBy("item", "window").agg(F.count("*").alias("needed"))
-    cell = F.explode(F.array(F.floor(F.col("pos") / half), F.floor(F.col("pos") / half) - 1)).alias("cell")
-    placed = stored.where(F.col("term") >= 0).select("did", "rid", "term", cell).distinct()
+    asked = materialize(windows(items, n, share), "near_windows")
+    split = docs.select(*row_key(), split_words(F.col("text")).alias("ws"))
+    vocabulary = checked_broadcast(asked.select(F.explode("words").alias("word")).distinct(), "near_words")
+    frequency = split.select(F.explode("ws").alias("word")).join(vocabulary, "word").groupBy("word").agg(F.count("*").alias("cf"))
+    ranked = (
+        asked.select("item_id", "window", "need", F.explode("words").alias("word"))
+        .join(materialize(frequency, "near_frequency"), "word", "left")
+        .groupBy("window")
+        .agg(F.first("need").alias("need"), F.array_sort(F.collect_list(F.struct(F.coalesce("cf", F.lit(0)).alias("cf"), "word"))).alias("by"))
+    )
+    rarest = F.slice("by", 1, F.size("by") - F.col("need") + 1)
+    opened = materialize(ranked.select("window", F.explode(rarest).alias("x")).where("x.cf > 0").select("window", F.col("x.word").alias("word")), "near_anchors")
+    rare = checked_broadcast(opened.select("word").distinct(), "near_rare_words")
+    stored = split.select("did", "rid", F.posexplode("ws").alias("pos", "word")).join(rare, "word")
+    places = materialize(stored.groupBy("did", "rid").agg(F.collect_set(F.struct("pos", "word")).alias("places")), "near_postings")
+
+    def around(p: Column) -> Column:
+        """A posting with the words that a span over it can have, 2 * span - 1 at most."""
+        low = F.greatest(F.lit(0), p["pos"] - (span - 1))
+        words = F.slice("ws", low + 1, p["pos"] - low + span)
+        return F.struct(p["word"].alias("word"), low.alias("low"), p["pos"].alias("pos"), words.alias("near"))
+
+    shown = split.join(places, ["did", "rid"]).select("did", "rid", F.explode(F.transform("places", around)).alias("p")).select("did", "rid", "p.*")
+    tests = opened.join(asked, "window").select("word", "item_id", "words", "need")
+
+    def enough(part: Column) -> Column:
+        return F.size(F.array_intersect(part, F.col("words"))) >= F.col("need")
+
+    first = F.filter(F.sequence(F.lit(0), F.col("pos") - F.col("low")), lambda k: enough(F.slice("near", k + 1, F.lit(span))))
     return (
-        placed.join(checked_broadcast(pairs, "item_windows"), "term")
-        .groupBy("did", "rid", "item", "item_id", "window", "cell")
-        .agg(F.count("*").alias("found"))
-        .join(checked_broadcast(needed, "window_sizes"), ["item", "window"])
-        .where(F.col("found") >= F.ceil(F.col("needed") * share))
-        .select("did", "rid", "item_id", "cell")
+        shown.join(checked_broadcast(tests, "near_tests"), "word")
+        .where(enough(F.col("near")))
+        .select("did", "rid", "item_id", (F.col("low") + F.get(first, F.lit(0))).alias("first"))
+        .where(F.col("first").isNotNull())
         .distinct()
     )
 
 
-def report(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """A row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and its did and rid."""
+def report(docs: DataFrame, items: DataFrame, n: int = WINDOW, near: bool = False) -> DataFrame:
+    """A row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and its did and rid.
+
+    With ``near`` also n_near: items with a near match, those with a window in place included.
+    """
     stored, placed = index(docs, items)
     found = materialize(matches(stored, placed, n), "matches")
     in_order = Window.partitionBy("did", "rid").orderBy("first", "last")
@@ -160,11 +198,15 @@ def report(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     listed = found.groupBy("did", "rid").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
     ends = stored.where(F.col("term") == END_TERM).select("doc_id", "did", "rid", F.col("pos").cast("long").alias("n_words"))
     joined = F.array_join(F.coalesce("ids", F.array().cast("array<string>")), ",")
-    return ends.join(hit.join(listed, ["did", "rid"]), ["did", "rid"], "left").select(
+    found_all = ends.join(hit.join(listed, ["did", "rid"]), ["did", "rid"], "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.greatest(F.size("ids"), F.lit(0)).cast("long").alias("n_items"), F.sha2(joined, 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), "did", "rid",
     )
+    if not near:
+        return found_all
+    close = near_matches(docs, items, n).select("did", "rid", "item_id").distinct().groupBy("did", "rid").agg(F.count("*").alias("n_near"))
+    return found_all.join(close, ["did", "rid"], "left").withColumn("n_near", F.coalesce("n_near", F.lit(0)))
 
 
 def clean(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:

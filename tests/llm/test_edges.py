@@ -1,5 +1,6 @@
 """Every operator and every stage on awkward rows and on empty tables; results against short plain versions."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -124,15 +125,40 @@ def test_overlapping_items_and_repeats(spark):
     assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in got) == plain_hits(rows, items)
 
 
+def plain_near(rows, items, n=10, share=0.8, span=14):
+    """(did, item) of every item window of which enough different words stand within a span of the document."""
+    out = set()
+    for i, text in items:
+        ws = split(text, decontaminate.WORD)
+        for at in range(max(1, len(ws) - n + 1) if ws else 0):
+            asked = set(ws[at : at + n])
+            need = -int(-round(len(asked) * share, 6) // 1)
+            for did, doc in rows:
+                words = split(doc, decontaminate.WORD)
+                if any(len(asked & set(words[p : p + span])) >= need for p in range(len(words))):
+                    out.add((did, "" if i is None else str(i)))
+    return out
+
+
 def test_proximity(spark):
-    words = [f"t{i}" for i in range(10)]
-    near = words[:4] + ["pad"] + words[4:9][::-1]
-    rows = [(1, " ".join(["z"] * 30 + near + ["z"] * 5)), (2, " ".join(w + " z" * 40 for w in words))]
-    stored, placed = decontaminate.index(
-        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string"), pairs=False
-    )
-    found = decontaminate.near_matches(stored, placed).collect()
-    assert {r.did for r in found} == {1}
+    """Shifted, padded, reordered and scattered copies of parts of an item, and items and texts of all kinds, against brute force."""
+    item = [f"t{i}" for i in range(30)]
+    rows = [(s, " ".join(["z"] * 30 + item[s : s + 10] + ["z"] * 5)) for s in (0, 3, 5, 7, 10, 20)]
+    rows += [(100 + s, " ".join(["z"] * s + item[s : s + 4] + ["pad", "t0"] + item[s + 4 : s + 9][::-1])) for s in range(0, 20, 3)]
+    rows += [(200, " ".join(w + " z" * 40 for w in item)), (201, " ".join(w + " z" for w in item)), (202, None), (203, ""), (204, "t1 t2 T3"), (0, rows[0][1])]
+    rnd = random.Random(5)
+    rows += [(300 + i, " ".join(rnd.choice(item[:12] + ["z", "y"]) for _ in range(60))) for i in range(20)]
+    items = [(1, " ".join(item)), (2, "t3 T1 t2"), (3, None), (4, ""), (None, "t5"), (5, "t1 t1 t2 t2 t7 t7 t7 t8 t8 t9 t11 t11"), (1, " ".join(item))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.near_matches(docs, table).collect()
+    want = plain_near(rows, items)
+    assert {(r.did, r.item_id) for r in found} == want
+    assert {(s, "1") for s in (0, 3, 5, 7, 10, 20)} <= want and (200, "1") not in want
+    near = Counter(did for did, _ in want)
+    got = decontaminate.report(docs, table, near=True).collect()
+    assert all(r.n_near == near[r.doc_id] and r.n_near >= r.n_items for r in got) and len(got) == len(rows)
+    assert decontaminate.near_matches(docs.limit(0), table).count() == 0 and decontaminate.near_matches(docs, table.limit(0)).count() == 0
 
 
 def test_simhash_classes(spark):
