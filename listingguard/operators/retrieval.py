@@ -7,7 +7,8 @@ through an equi-join on a short leading gram, and tokens lead to documents.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,19 +118,86 @@ def _scored(counted: DataFrame, key: list[str]) -> DataFrame:
 
 HEAD = 256
 #: Terms opened beyond the rarest ones that a better document cannot avoid; it then has to match one more of them for each.
-EXTRA = 4
+EXTRA = 2
 
 
-def best_scores(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int, head: int = HEAD) -> DataFrame:
+#: Length of the pieces by which the stored index finds the tokens of a term; shorter terms are looked up only where they are opened.
+INDEX_GRAM = 3
+BLOCK_DOCS = 65_536
+NO_BOUND = 2**62
+
+
+class Index(NamedTuple):
+    """A corpus stored for retrieval; every document has its own doc_id.
+
+    ``documents`` (doc_id, tokens) has each document's distinct tokens, ``postings`` (token, block, docs) the documents of a token by
+    ranges of ``BLOCK_DOCS`` ids, ``grams`` (gram, token, df) the pieces of each token with its number of documents.
+    """
+
+    documents: DataFrame
+    postings: DataFrame
+    grams: DataFrame
+
+
+def _grams(text: str) -> Column:
+    at = F.sequence(F.lit(1), F.length(text) - (INDEX_GRAM - 1))
+    return F.array_distinct(F.transform(at, lambda i: F.substring(F.col(text), i, F.lit(INDEX_GRAM))))
+
+
+def build_index(docs: DataFrame, keep: Callable[[str, Callable[[], DataFrame]], DataFrame] | None = None) -> Index:
+    """The index of ``docs`` (doc_id, text). ``keep`` stores a table under a name; given one that remembers, later calls only read."""
+    keep = keep or (lambda name, build: materialize(build(), name))
+    documents = keep("index_documents", lambda: docs.select("doc_id", F.array_distinct(words("text")).alias("tokens")))
+
+    def posted() -> DataFrame:
+        each = documents.select(F.explode("tokens").alias("token"), F.floor(F.col("doc_id") / BLOCK_DOCS).alias("block"), "doc_id")
+        return each.groupBy("token", "block").agg(F.collect_set("doc_id").alias("docs"))
+
+    postings = keep("index_postings", posted)
+
+    def pieces() -> DataFrame:
+        long = postings.where(F.length("token") >= INDEX_GRAM)
+        return long.groupBy("token").agg(F.sum(F.size("docs")).alias("df")).select(F.explode(_grams("token")).alias("gram"), "token", "df")
+
+    return Index(documents, postings, keep("index_grams", pieces))
+
+
+def _long_term_tokens(index: Index, terms: DataFrame) -> DataFrame:
+    """(term, token, df) for the terms of ``INDEX_GRAM`` characters and more, each looked up by its rarest piece."""
+    distinct = terms.select("term").distinct().where(F.length("term") >= INDEX_GRAM)
+    parts = materialize(distinct.select("term", F.explode(_grams("term")).alias("gram")), "term_grams")
+    sizes = index.grams.join(_checked(parts.select("gram").distinct()), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("_tokens"))
+    rarest = (
+        parts.join(sizes, "gram", "left")
+        .groupBy("term")
+        .agg(F.min(F.struct(F.coalesce("_tokens", F.lit(0)).alias("_tokens"), "gram")).alias("_rarest"))
+        .where(F.col("_rarest._tokens") > 0)
+        .select("term", F.col("_rarest.gram").alias("gram"))
+    )
+    pairs = index.grams.join(_checked(materialize(rarest, "rarest_grams")), "gram").where(F.col("token").contains(F.col("term")))
+    return materialize(pairs.select("term", "token", "df"), "term_tokens")
+
+
+def _short_term_tokens(index: Index, terms: DataFrame) -> DataFrame:
+    """(term, token) for terms of fewer than ``INDEX_GRAM`` characters."""
+    pieces = F.expr(
+        f"flatten(transform(sequence(1, {INDEX_GRAM - 1}), g -> "
+        "transform(sequence(1, length(token)), i -> substring(token, i, g))))"
+    )
+    each = index.postings.select("token").distinct().select("token", F.explode(F.array_distinct(pieces)).alias("term"))
+    return each.join(_checked(terms), "term").select("term", "token")
+
+
+def best_scores(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int, head: int = HEAD, index: Index | None = None) -> DataFrame:
     """The ``n`` best of ``scores`` per query with their rank, without scoring every pair.
 
-    The first ``head`` documents in corpus order are scored in full. If the n-th best of a query there matches m terms, a later
-    document has to match more than m, so it contains one of any n_terms - m of the query's terms, and x + 1 of any n_terms - m + x:
-    only documents that do so among the rarest ones are counted in full. A query whose n best match everything opens few.
+    The first ``head`` documents in corpus order are scored in full. If the n-th best of a query there matches m of its n_terms terms, a
+    later document has to match more than m, so it has x + 1 of any n_terms - m + x of the terms: those with the fewest postings
+    are opened, and only documents with enough of them are looked up for the others. Postings of these, the frequent ones, stay closed.
     """
     key = list(key)
+    index = index or build_index(docs)
     terms = query_words(queries, key)
-    hits = materialize(term_hits(docs, terms), "term_hits")
     last = docs.select("doc_id").orderBy("doc_id").limit(head).agg(F.max("doc_id")).first()[0]
     order = Window.partitionBy(*key).orderBy(F.desc("_m"), "doc_id")
 
@@ -137,42 +205,55 @@ def best_scores(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int,
         # Spark keeps only n rows per query and map task before this shuffle.
         return counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
-    early = materialize(top(_counted(hits.where(F.col("doc_id") <= last), terms, key)), "retrieval_head")
+    first = docs.where(F.col("doc_id") <= last)
+    early = materialize(top(_counted(term_hits(first, terms), terms, key)), "retrieval_head")
     bar = early.where(F.col("rank") == n).select(*key, F.col("_m").alias("_bar"))
-    frequency = hits.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    rarity = Window.partitionBy(*key).orderBy("_df", "term")
-    opened = (
-        terms.join(frequency, "term")
+    pairs = _long_term_tokens(index, terms)
+    reach = pairs.groupBy("term").agg(F.sum("df").alias("_reach"))
+    rarity = Window.partitionBy(*key).orderBy("_reach", F.desc(F.length("term")), "term")
+    ranked = (
+        terms.join(reach, "term", "left")
+        .withColumn("_reach", F.when(F.length("term") < INDEX_GRAM, F.lit(NO_BOUND)).otherwise(F.coalesce("_reach", F.lit(0))))
         .join(bar, key, "left")
-        .withColumn("_at", F.row_number().over(rarity))
-        # terms that no document has are the rarest of all; they are not in this list but count as opened
-        .withColumn("_absent", F.col("_n") - F.count(F.lit(1)).over(Window.partitionBy(*key)))
         .withColumn("_bar", F.coalesce("_bar", F.lit(0)))
-        .where(F.col("_at") + F.col("_absent") <= F.col("_n") - F.col("_bar") + EXTRA)
-        .select(*key, "term", (F.least("_bar", F.lit(EXTRA)) + 1).alias("_need"))
+        .withColumn("_open", F.row_number().over(rarity) <= F.col("_n") - F.col("_bar") + EXTRA)
+        .where(F.col("_reach") > 0)  # terms of no document are among the first; no document has them
+        .select(*key, "term", "_open", (F.least("_bar", F.lit(EXTRA)) + 1).alias("_need"))
     )
-    opened = materialize(opened, "opened_terms")
-    later = hits.where(F.col("doc_id") > last)
-    shared = later.join(_checked(opened), "term").groupBy(*key, "doc_id", "_need").agg(F.count(F.lit(1)).alias("_k"))
-    candidates = shared.where(F.col("_k") >= F.col("_need")).select(*key, "doc_id")
+    ranked = materialize(ranked, "ranked_terms")
+    opened = ranked.where("_open").drop("_open")
+    names = materialize(opened.select("term").distinct(), "opened_names")
+    wanted = pairs.join(_checked(names), "term").select("term", "token")
+    short = names.where(F.length("term") < INDEX_GRAM)
+    if short.head(1):
+        wanted = wanted.unionByName(_short_term_tokens(index, short))
+    wanted = materialize(wanted, "opened_tokens")
+    hits = index.postings.join(_checked(wanted), "token").select("term", F.explode("docs").alias("doc_id"))
+    shared = (
+        hits.where(F.col("doc_id") > last).distinct()
+        .join(_checked(opened), "term").groupBy(*key, "doc_id", "_need").agg(F.count(F.lit(1)).alias("_k"))
+    )
+    candidates = materialize(shared.where(F.col("_k") >= F.col("_need")).drop("_need"), "retrieval_candidates")
+    closed = F.collect_list(F.when(~F.col("_open"), F.col("term"))).alias("_closed")
+    asked = terms.select(*key, "_n").distinct().join(ranked.groupBy(*key).agg(closed), key)
+    shown = index.documents.select("doc_id", F.array_join("tokens", " ").alias("_shown"))
     found = (
-        candidates.join(terms, key)
-        .join(later, ["doc_id", "term"], "left_semi")
-        .groupBy(*key, "doc_id", "_n")
-        .agg(F.count(F.lit(1)).alias("_m"))
+        candidates.join(_checked(materialize(asked, "query_term_lists")), key)
+        .join(shown, "doc_id")
+        .select(*key, "doc_id", "_n", (F.col("_k") + F.size(F.filter("_closed", lambda t: F.contains("_shown", t)))).alias("_m"))
     )
     merged = top(early.drop("rank").unionByName(found))
     return merged.select(*key, "doc_id", report_round(F.col("_m") / F.col("_n"), 4).alias("score"), "rank")
 
 
-def retrieve(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int = 4) -> DataFrame:
+def retrieve(docs: DataFrame, queries: DataFrame, key: Sequence[str], n: int = 4, index: Index | None = None) -> DataFrame:
     """The ``n`` best documents per query with their rank, ties in corpus order (doc_id).
 
     Documents without a shared term score 0 and fill up in corpus order. A query that matches nothing
     gets every document, which is the asked-for result; those rows are spread over shards of the corpus.
     """
     key = list(key)
-    best = materialize(best_scores(docs, queries, key, n), "retrieval_best")
+    best = materialize(best_scores(docs, queries, key, n, index=index), "retrieval_best")
     matched = best.groupBy(*key).agg(F.max("rank").alias("_found"))
     per_query = materialize(queries.select(*key).join(matched, key, "left"), "retrieval_counts")
     short = per_query.where((F.col("_found") >= 1) & (F.col("_found") < n))

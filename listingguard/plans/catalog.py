@@ -1078,7 +1078,9 @@ def doc_relevance(spark, d):
 
 @query("retrieve_topn")
 def retrieve_topn(spark, d):
-    return re_.retrieve(documents(spark, d), user_turns(spark, d), ["conv_id", "turn"])
+    docs = documents(spark, d)
+    index = re_.build_index(docs, lambda name, build: stage(spark, d, name, build))
+    return re_.retrieve(docs, user_turns(spark, d), ["conv_id", "turn"], index=index)
 
 
 @query("chat_history_window")

@@ -196,3 +196,30 @@ def test_pruned_retrieval_equals_all_pairs(spark, head):
         best = part.sort_values(["score", "doc_id"], ascending=[False, True]).head(4)
         want |= {(q, i + 1): (d, s) for i, (d, s) in enumerate(zip(best["doc_id"], best["score"]))}
     assert got == want
+
+
+def test_retrieval_from_a_stored_index(spark):
+    """Short terms, terms inside tokens and terms of no document, all from one index that is built once, against plain loops."""
+    rng = np.random.default_rng(3)
+    pieces = ["ab", "a", "xyz", "abxyz", "qq7", "b", "yz", "deepab", "é1"]
+    texts = [(i, " ".join(rng.choice(pieces, 4)) if i % 9 else None) for i in range(50)]
+    asked = [(q, " ".join(rng.choice([*pieces, "x", "none", "z"], 5))) for q in range(30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    queries = spark.createDataFrame(asked, "q long, text string")
+    built = []
+
+    def keep(name, build):
+        built.append(name)
+        return build()
+
+    index = retrieval.build_index(docs, keep)
+    want = {}
+    for q, text in asked:
+        terms = set(text.split()) - set(retrieval.STOP_WORDS)
+        hits = [(d, sum(any(t in w for w in (body or "").split()) for t in terms)) for d, body in texts]
+        best = sorted((h for h in hits if h[1]), key=lambda h: (-h[1], h[0]))[:4]
+        want |= {(q, i + 1): d for i, (d, _) in enumerate(best)}
+    for head in (4, 20):
+        got = retrieval.best_scores(docs, queries, ["q"], 4, head, index)
+        assert {(r["q"], r["rank"]): r["doc_id"] for r in got.collect()} == want
+    assert built == ["index_documents", "index_postings", "index_grams"]
