@@ -37,6 +37,17 @@ def row_key() -> list[Column]:
     return [F.coalesce(F.col("doc_id"), F.lit(-1)).alias("did"), F.xxhash64("doc_id", "text").alias("rid")]
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """A column name for each of ``names`` that ``docs`` does not have yet."""
+    there, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        free = f"_llm_{name}"
+        while free in there:
+            free += "_"
+        out.append(free)
+    return out
+
+
 def checked_broadcast(df: DataFrame, name: str, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``df`` as a written table, marked for broadcast only when its counted rows are within ``limit``."""
     table = materialize(df, name)

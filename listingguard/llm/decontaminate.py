@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listingguard.llm.common import checked_broadcast, lower_ascii, row_key
+from listingguard.llm.common import checked_broadcast, lower_ascii, row_key, unused
 from listingguard.sources.stage import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -211,9 +211,10 @@ def report(docs: DataFrame, items: DataFrame, n: int = WINDOW, near: bool = Fals
 
 def clean(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without a window of any item."""
-    bad = report(docs, items, n).where("contaminated").select(F.col("did").alias("_llm_did"), F.col("rid").alias("_llm_rid")).distinct()
+    b_did, b_rid = unused(docs, "did", "rid")
+    bad = report(docs, items, n).where("contaminated").select(F.col("did").alias(b_did), F.col("rid").alias(b_rid)).distinct()
     did, rid = row_key()
-    return docs.join(bad, (did == F.col("_llm_did")) & (rid == F.col("_llm_rid")), "left_anti")
+    return docs.join(bad, (did == F.col(b_did)) & (rid == F.col(b_rid)), "left_anti")
 
 
 SQL = f"""

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listingguard.llm.common import words
+from listingguard.llm.common import unused, words
 from listingguard.sources.stage import materialize
 
 MIN_SITES = 8
@@ -73,17 +73,18 @@ def removals(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_W
 
 
 def apply(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, site: str = "source") -> DataFrame:
-    """``docs`` with the remaining lines as ``text``, plus n_lines and n_removed."""
-    cut = removals(docs, min_sites, min_words, site).withColumnsRenamed({"did": "_llm_did", "rid": "_llm_rid", "gone": "_llm_gone"})
+    """``docs`` with the remaining lines as ``text``, plus n_lines and n_removed, which replace input columns of these names. Other columns are kept; texts are split whole, at any length."""
+    c_did, c_rid, c_gone = unused(docs, "did", "rid", "gone")
+    cut = removals(docs, min_sites, min_words, site).withColumnsRenamed({"did": c_did, "rid": c_rid, "gone": c_gone})
     did, rid = row_keys()
     parts = F.split("text", "\n")
-    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("_llm_gone", i)), "\n")
+    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(c_gone, i)), "\n")
     return (
-        docs.join(cut, (did == F.col("_llm_did")) & (rid == F.col("_llm_rid")), "left")
+        docs.join(cut, (did == F.col(c_did)) & (rid == F.col(c_rid)), "left")
         .withColumn("n_lines", F.coalesce(F.size(parts), F.lit(0)).cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("_llm_gone"), F.lit(0)).cast("long"))
-        .withColumn("text", F.when(F.col("_llm_gone").isNull(), F.col("text")).otherwise(kept))
-        .drop("_llm_did", "_llm_rid", "_llm_gone")
+        .withColumn("n_removed", F.coalesce(F.size(c_gone), F.lit(0)).cast("long"))
+        .withColumn("text", F.when(F.col(c_gone).isNull(), F.col("text")).otherwise(kept))
+        .drop(c_did, c_rid, c_gone)
     )
 
 

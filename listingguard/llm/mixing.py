@@ -11,7 +11,8 @@ is ordered in one task.
 
 Defined cases: null or empty texts have size 0 and take 0; a null source is a source of its own, ordered last; a null
 doc_id draws the key of the empty id; repeated rows share a key and each counts; ties go by doc_id, then size. An empty table
-gives an empty mix. Extra columns are ignored by ``mix`` and kept by ``apply``.
+gives an empty mix. Extra columns are ignored by ``mix`` and kept by ``apply``,
+whose ``taken`` replaces an input column of that name.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listingguard.llm.common import SPACE_WORD, row_key
+from listingguard.llm.common import SPACE_WORD, row_key, unused
 from listingguard.sources.stage import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -118,18 +119,19 @@ def taken(sized: DataFrame, targets: DataFrame) -> DataFrame:
 
 def apply(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, quality: Column | None = None) -> DataFrame:
     """The documents of which the mix takes words, with ``taken``; equal rows are one row with their words together."""
+    k_did, k_rid, k_taken = unused(docs, "did", "rid", "taken")
     words = (
         mix(docs, weights, share, epochs, quality)
-        .groupBy(F.col("did").alias("_llm_did"), F.col("rid").alias("_llm_rid")).agg(F.sum("taken").alias("_llm_taken"))
-        .where(F.col("_llm_taken") > 0)
+        .groupBy(F.col("did").alias(k_did), F.col("rid").alias(k_rid)).agg(F.sum("taken").alias(k_taken))
+        .where(F.col(k_taken) > 0)
     )
     did, rid = row_key()
     return (
-        docs.withColumns({"_llm_did": did, "_llm_rid": rid})
-        .join(words, ["_llm_did", "_llm_rid"])
-        .dropDuplicates(["_llm_did", "_llm_rid"])
-        .withColumn("taken", F.col("_llm_taken"))
-        .drop("_llm_did", "_llm_rid", "_llm_taken")
+        docs.withColumns({k_did: did, k_rid: rid})
+        .join(words, [k_did, k_rid])
+        .dropDuplicates([k_did, k_rid])
+        .withColumn("taken", F.col(k_taken))
+        .drop(k_did, k_rid, k_taken)
     )
 
 

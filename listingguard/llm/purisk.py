@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listingguard.llm import flat
-from listingguard.llm.common import crc_mod, row_key
+from listingguard.llm.common import crc_mod, row_key, unused
 from listingguard.sources.stage import materialize
 
 MAX_POSITIVES = 20_000
@@ -206,6 +206,7 @@ def score(docs: DataFrame, labels: DataFrame, held_out: int | None = HELD_OUT) -
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, held_out: int | None = HELD_OUT) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more."""
     low = score(docs, labels, held_out).where(F.col("score") < threshold)
-    low = low.select(F.col("did").alias("_llm_did"), F.col("rid").alias("_llm_rid")).distinct()
+    l_did, l_rid = unused(docs, "did", "rid")
+    low = low.select(F.col("did").alias(l_did), F.col("rid").alias(l_rid)).distinct()
     did, rid = row_key()
-    return docs.join(low, (did == F.col("_llm_did")) & (rid == F.col("_llm_rid")), "left_anti")
+    return docs.join(low, (did == F.col(l_did)) & (rid == F.col(l_rid)), "left_anti")

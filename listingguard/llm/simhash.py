@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listingguard.llm.common import row_key
+from listingguard.llm.common import row_key, unused
 from listingguard.llm.components import components
 from listingguard.sources.stage import materialize
 
@@ -204,17 +204,18 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> Da
 def dedup(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
     """One row of ``docs`` per class: that with the smallest doc_id."""
     found = classes(docs, shingle, most)
+    k_did, k_rid = unused(docs, "did", "rid")
     first = (
         found.groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "did", "rid")).alias("x"))
-        .select(F.col("x.did").alias("_llm_did"), F.col("x.rid").alias("_llm_rid"))
+        .select(F.col("x.did").alias(k_did), F.col("x.rid").alias(k_rid))
     )
     did, rid = row_key()
     return (
-        docs.withColumns({"_llm_did": did, "_llm_rid": rid})
-        .join(first, ["_llm_did", "_llm_rid"], "left_semi")
-        .dropDuplicates(["_llm_did", "_llm_rid"])
-        .drop("_llm_did", "_llm_rid")
+        docs.withColumns({k_did: did, k_rid: rid})
+        .join(first, [k_did, k_rid], "left_semi")
+        .dropDuplicates([k_did, k_rid])
+        .drop(k_did, k_rid)
     )
 
 

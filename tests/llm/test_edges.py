@@ -6,8 +6,11 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from listingguard.llm import decontaminate, katz, lengths, linespread, mixing, pivots, purisk, simhash, toxicity, warcstore
+from listingguard.sources.stage import materialize
 from tests.llm import data
 
 
@@ -288,3 +291,17 @@ def test_stages(spark, tmp_path):
             out.collect()
         done = corpus_pipeline.run(spark, str(tmp_path))
         assert done.count() <= len(rows)
+
+
+def test_columns_with_the_names_of_helpers(spark, tmp_path):
+    """Columns named as the operators' own helper columns stay, and the results are those without them."""
+    data.labels(spark).write.parquet(str(tmp_path / "labels.parquet"))
+    data.benchmark(spark).write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = materialize(data.docs(spark), "plain_docs")
+    names = ["_llm_did", "_LLM_rid", "_llm_rid_", "_llm_gone", "_llm_taken"]
+    clash = materialize(docs.withColumns({n: F.lit("kept") for n in names}), "clashing_docs")
+    for _, stage in corpus_pipeline.STAGES:
+        want, got = stage(spark, docs, str(tmp_path)), stage(spark, clash, str(tmp_path))
+        assert set(names) <= set(got.columns) and all(r[n] == "kept" for r in got.collect() for n in names)
+        rows = [Counter(tuple(map(str, r)) for r in df.select("doc_id", "text").collect()) for df in (want, got)]
+        assert rows[0] == rows[1]
