@@ -5,11 +5,15 @@ to single words, where one unknown word takes the mass that discounting leaves.
 alpha(h) is computed from the very sums that it has to balance, so the probabilities after each history add up to one.
 
 Work is arranged in blocks of documents and buckets of n-grams. A block is tokenised once and stored as indices into its own
-words. Level by level it asks the buckets for the counts of its distinct n-grams, telling them its training counts; a
-bucket adds up the counts of all blocks, stores them as the model's table of that level, and replies with totals and with the sums that
-the histories need. So what moves is each block's distinct n-grams, packed, once per direction. Buckets hold whole
-histories, except that a history with more than 1/``HOT`` of all tokens is spread by its next word; there are at most
-``HOT`` + 1 of those, and their sums go through one aggregation. Everything is stored as partitioned tables in the shared folder.
+words. It first asks buckets of words for ids and training counts, then sends its distinct n-grams with their own training counts to
+buckets chosen by the last word of the history. Such a bucket holds every shorter gram of its n-grams as well, so one shuffle counts all
+levels: it adds up the blocks' counts and stores one row, the model's table with the places of each block's grams in it. When the
+discounts are known, the stored tables are read bucket by bucket without a shuffle and reply with one probability per gram. A gram
+that was seen has seen shorter grams, so what a history needs from the level below are discounted counts, which add up.
+
+A history ending in a word with more than ``BUCKET_BYTES`` / 8 training tokens, or in the text's begin, is spread over all buckets by the
+word that follows; the sums of its histories go through one more aggregation and back. What stays together at any size is one
+pair of words, with one row per block and distinct n-gram. Everything is stored as partitioned tables in the shared folder.
 
 Defined cases: null and empty texts hold one token, their end; a null doc_id counts as the empty id when splitting; repeated rows train and are
 scored each; without training rows every token is unknown and has probability 1. An empty table gives an empty result. Extra
@@ -19,7 +23,6 @@ columns are ignored. doc_id is a whole number.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,12 +38,11 @@ from listingguard.sources.stage import materialize
 
 ORDER = 3
 K = 5
-HOT = 256
 BLOCK_BYTES = 12_000_000
-BUCKET_BYTES = 12_000_000
+BUCKET_BYTES = 8_000_000
 FOLDS, HELD_OUT = 10, 0
 END = np.uint64(0x5BD1E995A1C3F00D)
-UNSEEN, BEGIN, FIRST_ID = 0, 1, 2
+NOTHING, UNSEEN, BEGIN, FIRST_ID = -1, 0, 1, 2  # NOTHING stands before the begin
 
 CELLS = "level int, kind string, block long, bucket int, hot boolean, a binary, b binary, c binary, d binary"
 COLUMNS = [x.split()[0] for x in CELLS.split(", ")]
@@ -181,39 +183,159 @@ def identify(counts: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
     return np.where(counts > 0, FIRST_ID + rank * buckets + bucket, UNSEEN)
 
 
-def count_grams(asked: pd.DataFrame, level: int, buckets: int, last: bool) -> pd.DataFrame:
-    """As ``count_words`` for n-grams, with the sums of each history: its count, its followers seen 1 .. K times, their lower probability."""
+def composed(columns: list[np.ndarray], width: int) -> np.ndarray:
+    """One number per row that sorts like the columns, whose values lie below ``width``."""
+    key, top = columns[0].astype(np.int64), width
+    for column in columns[1:]:
+        if top > 2**62 // width:
+            key = np.unique(key, return_inverse=True)[1]
+            top = len(key)
+        key, top = key * width + column, top * width
+    return key
+
+
+class Table:
+    """The distinct n-grams of one bucket, sorted by history from its last word back, then by the next word; columns are places in ``ids``."""
+
+    def __init__(self, ids: np.ndarray, word_counts: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> None:
+        self.ids, self.word_counts, self.grams, self.counts = ids, word_counts, grams, counts
+        self.order = len(grams)
+
+    def level(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows that have a gram of k words, the place of each one's distinct gram, a row of each distinct gram, and each gram's count."""
+        rows = np.flatnonzero(self.ids[self.grams[self.order - k]] != NOTHING)
+        columns = [*range(self.order - 2, self.order - k - 1, -1), self.order - 1]
+        key = composed([self.grams[c][rows] for c in columns], len(self.ids))
+        _, first, index = np.unique(key, return_index=True, return_inverse=True)
+        return rows, index, rows[first], np.bincount(index, self.counts[rows], len(first)).astype(np.int64)
+
+    def histories(self, k: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the history of k - 1 words of each row, and a row of each history; rows are sorted by history."""
+        new = np.zeros(len(rows), bool)
+        new[:1] = True
+        for c in range(self.order - 2, self.order - k - 1, -1):
+            new[1:] |= np.diff(self.grams[c][rows]) != 0
+        return np.cumsum(new) - 1, rows[new]
+
+    def history_keys(self, k: int, rows: np.ndarray) -> np.ndarray:
+        key = np.full(len(rows), k, np.uint64)
+        for c in range(self.order - 2, self.order - k - 1, -1):
+            key = pair_key(key, self.ids[self.grams[c][rows]])
+        return key.view(np.int64)
+
+    def sums(self, model: dict) -> dict:
+        """Per level: rows, place of the gram, discounted count per gram, place of the history, a row of each history, sums per history."""
+        out, numerator = {}, model[1]["words"].probability(self.word_counts)[self.grams[-1]]
+        for k in range(2, self.order + 1):
+            rows, index, first, counts = self.level(k)
+            place, heads = self.histories(k, rows)
+            back = np.empty(len(first), np.int64)
+            back[index] = place
+            few = [np.bincount(back, counts == r, len(heads)) for r in range(1, K + 1)]
+            low = np.bincount(back, numerator[first] * (counts > 0), len(heads))
+            own = discounted(counts, model[k]["d"])
+            numerator = np.zeros(len(self.counts))
+            numerator[rows] = own[index]
+            out[k] = rows, numerator[rows], place, heads, np.stack([np.bincount(back, counts, len(heads)), *few, low])
+        return out
+
+    def probabilities(self, model: dict, levels: dict) -> np.ndarray:
+        """P(next word | history) per row."""
+        p = model[1]["words"].probability(self.word_counts)[self.grams[-1]]
+        below_rows = np.ones(len(self.counts))  # the denominator of the shorter history
+        for k, (rows, numerator, place, heads, sums) in levels.items():
+            sums = np.concatenate((sums[:-1], sums[-1:] / below_rows[heads]))
+            below, alpha = backoff(sums, model[k]["d"])
+            below_rows[rows] = below[place]
+            p[rows] = np.where(numerator > 0, numerator / below[place], alpha[place] * p[rows])
+        return p
+
+
+def merge_grams(asked: pd.DataFrame, order: int) -> pd.DataFrame:
+    """The table of a bucket with the places of each block's grams in it, and its counts of counts per level."""
     bucket, hot = int(asked.bucket.iloc[0]), bool(asked.hot.iloc[0])
-    h, w = ([unpack_sorted(x) for x in asked.a], [unpack(x) for x in asked.b])
-    sizes = np.array([len(x) for x in h])
-    h, w = np.concatenate(h), np.concatenate(w)
-    own, lower = np.concatenate([unpack(x) for x in asked.c]), np.concatenate([unpack_values(x) for x in asked.d])
-    _, first, index = np.unique(pair_key(h, w), return_index=True, return_inverse=True)
-    counts = np.bincount(index, own, len(first)).astype(np.int64)
-    gram_h, gram_w, gram_low = h[first], w[first], lower[first]
-    seen = counts > 0
-    ids = identify(counts, 2 * bucket + hot, 2 * buckets)
-    order = np.lexsort((gram_w[seen], gram_h[seen]))
-    histories, back = np.unique(gram_h, return_inverse=True)
-    few = [np.bincount(back, counts == r, len(histories)) for r in range(1, K + 1)]
-    sums = np.stack([np.bincount(back, counts, len(histories)), *few, np.bincount(back, gram_low * seen, len(histories))])
-    cells = [
-        cell(level, "table", -1, bucket, hot, a=pack_sorted(gram_h[seen][order]), b=pack(gram_w[seen][order]), c=pack(counts[seen][order])),
-        cell(level, "stats", -1, bucket, hot, a=pack(count_of_counts(counts))),
-    ]
-    if hot:
-        cells.append(cell(level, "sums", -1, bucket, hot, a=pack(histories), b=pack(sums.ravel())))
-    at = 0
-    for block, n in zip(asked.block, sizes):
-        mine = index[at : at + n]
-        asked_h = np.unique(h[at : at + n])
-        at += n
-        stat = b"" if hot else pack(sums[:, np.searchsorted(histories, asked_h)].ravel())
-        named = b"" if last else pack(ids[mine])  # ids serve as histories of the next level
-        cells.append(cell(level, "reply", int(block), bucket, hot, a=named, b=pack(counts[mine]), c=stat))
+    lists = [unpack_sorted(x) for x in asked.a]
+    ids, first = np.unique(np.concatenate(lists), return_index=True)
+    word_counts = np.concatenate([unpack(x) for x in asked.b])[first]
+    parts, sizes = [], []
+    for own, grams in zip(lists, asked.c):
+        part = unpack(grams).reshape(order, -1)
+        parts.append(np.searchsorted(ids, own).astype(np.int32)[part])
+        sizes.append(part.shape[1])
+    grams = np.concatenate(parts, axis=1)
+    del parts
+    key = composed([grams[c] for c in [*range(order - 2, -1, -1), order - 1]], len(ids))
+    _, first, index = np.unique(key, return_index=True, return_inverse=True)
+    del key
+    counts = np.bincount(index, np.concatenate([unpack(x) for x in asked.d]), len(first)).astype(np.int64)
+    table = Table(ids, word_counts, grams[:, first], counts)
+    steps = np.diff(index, prepend=0)  # each block's places go up
+    starts = np.cumsum(sizes) - sizes
+    steps[starts] = index[starts]
+    cells = [cell(order, "stats", k, bucket, hot, a=pack(count_of_counts(table.level(k)[3]))) for k in range(2, order + 1)]
+    packed = np.concatenate((np.diff(table.grams[order - 2], prepend=0), *np.delete(table.grams, order - 2, 0), counts))
+    blocks = np.concatenate(([len(sizes)], asked.block.to_numpy(), sizes, steps))
+    cells.append(cell(order, "table", -1, bucket, hot, a=pack_sorted(ids), b=pack(word_counts), c=pack(packed.astype(np.int64)), d=pack(blocks.astype(np.int64))))
     return frame(cells)
 
 
+def read_table(row, order: int) -> Table:
+    packed = unpack(row.c).reshape(order + 1, -1)
+    grams = np.insert(packed[1:order], order - 2, np.cumsum(packed[0]), axis=0).astype(np.int32)
+    return Table(unpack_sorted(row.a), unpack(row.b), grams, packed[order])
+
+
+def replies(row, order: int, p: np.ndarray) -> pd.DataFrame:
+    """The log10 of the probabilities, to each block in the order of its grams."""
+    blocks = unpack(row.d)
+    n, rest = int(blocks[0]), blocks[1:]
+    names, sizes, steps = rest[:n], rest[n : 2 * n], rest[2 * n :]
+    with np.errstate(divide="ignore"):
+        p = np.log10(p)
+    ends = np.cumsum(sizes)
+    parts = [np.cumsum(steps[e - size : e]) for size, e in zip(sizes, ends)]
+    return frame([cell(order, "reply", int(b), int(row.bucket), bool(row.hot), a=pack_values(p[at])) for b, at in zip(names, parts)])
+
+
+def history_sums(row, order: int, model: dict, buckets: int) -> pd.DataFrame:
+    """The sums of the histories of a spread bucket, to the places where they are added up."""
+    table, cells = read_table(row, order), []
+    for k, (_, _, _, heads, sums) in table.sums(model).items():
+        keys = table.history_keys(k, heads)
+        to = bucket_of(keys, buckets)
+        by = np.argsort(to, kind="stable")
+        for q, lo, hi in runs(to[by]):
+            cells.append(cell(k, "sums", int(row.bucket), q, True, a=pack(keys[by[lo:hi]]), b=pack(sums[:, by[lo:hi]].ravel())))
+    return frame(cells)
+
+
+def add_sums(cells: pd.DataFrame) -> pd.DataFrame:
+    """Adds up the sums of the histories of one place and sends each spread bucket the totals of those that it has."""
+    lists = [unpack(x) for x in cells.a]
+    keys, index = np.unique(np.concatenate(lists), return_inverse=True)
+    values = np.concatenate([unpack(x, np.float64).reshape(K + 2, -1) for x in cells.b], axis=1)
+    totals = np.stack([np.bincount(index, v, len(keys)) for v in values])
+    out, at = [], 0
+    for level, to, own in zip(cells.level, cells.block, lists):
+        out.append(cell(int(level), "total", -1, int(to), True, a=pack(own), b=pack(totals[:, index[at : at + len(own)]].ravel())))
+        at += len(own)
+    return frame(out)
+
+
+def with_totals(cells: pd.DataFrame, order: int, model: dict) -> pd.DataFrame:
+    """Replies of a spread bucket, by the totals of its histories."""
+    row = cells[cells.kind == "table"].iloc[0]
+    table = read_table(row, order)
+    levels = table.sums(model)
+    for k, part in cells[cells.kind == "total"].groupby("level"):
+        keys = np.concatenate([unpack(x) for x in part.a])
+        totals = np.concatenate([unpack(x, np.float64).reshape(K + 2, -1) for x in part.b], axis=1)
+        by = np.argsort(keys)
+        rows, numerator, place, heads, _ = levels[k]
+        levels[k] = rows, numerator, place, heads, totals[:, by[np.searchsorted(keys, table.history_keys(k, heads), sorter=by)]]
+    return replies(row, order, table.probabilities(model, levels))
+
+
 # ---- the model at a block ---------------------------------------------------------------------------------------
 
 
@@ -259,99 +381,67 @@ def backoff(sums: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Block:
-    """One block with the replies so far. Tokens hold 32-bit places in the block's own lists of distinct words and grams."""
+    """One block with the replies of the words. Tokens hold 32-bit places in the block's sorted word ids."""
 
-    def __init__(self, cells: pd.DataFrame, model: dict, buckets: int) -> None:
-        self.buckets, self.model = buckets, model
+    def __init__(self, cells: pd.DataFrame, words: Words, buckets: int) -> None:
+        self.buckets, self.words = buckets, words
         block = cells[cells.kind == "block"].iloc[0]
         self.block = int(block.block)
         self.rows = unpack(block.b).reshape(4, -1)
         self.sizes = self.rows[3]
-        replies = cells[cells.kind == "reply"].sort_values(["level", "hot", "bucket"])
-        self.replies = {level: part for level, part in replies.groupby("level")}
-        one = self.replies[1]
+        one = cells[(cells.kind == "reply") & (cells.level == 1)].sort_values("bucket")
         ids, counts = (np.concatenate([unpack(x) for x in column]) for column in (one.a, one.b))
-        self.word = unpack(block.a).astype(np.int32)
-        self.word_ids, self.word_counts = np.append(ids, UNSEEN), np.append(counts, 0)
-        self.word[self.word_ids[self.word] == UNSEEN] = len(ids)  # all unknown words are one
+        self.ids, first, place = np.unique(np.concatenate(([NOTHING, UNSEEN, BEGIN], ids)), return_index=True, return_inverse=True)
+        self.counts = np.concatenate(([0, 0, 0], counts))[first]  # all unknown words are one
+        self.word = place[3:].astype(np.int32)[unpack(block.a)]
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.p = model[1]["words"].probability(self.word_counts)[self.word]
-        # as histories: place of each token's gram, and id and count of the block's grams, the text's begin being the last one
-        self.gram = self.word
-        self.gram_ids, self.gram_counts = np.append(self.word_ids, BEGIN), np.append(self.word_counts, np.iinfo(np.int64).max)
-
-    def asks(self, level: int):
-        """Tokens with a history at this level, a token and the place of each distinct pair, (history id, word id), and its cell."""
-        history = np.empty_like(self.gram)
-        history[1:] = self.gram[:-1]
-        nothing = len(self.gram_ids)  # a place beyond the list: no history
-        if level == 2:
-            history[self.starts] = len(self.gram_ids) - 1
-        else:
-            history[self.starts] = nothing
-        real = np.append(self.gram_ids != UNSEEN, False)[history]
-        tokens = np.flatnonzero(real).astype(np.int32)
-        width = len(self.word_ids)
-        key = history[tokens].astype(np.int64) * width + self.word[tokens]
-        del history, real
-        pairs, first, index = np.unique(key, return_index=True, return_inverse=True)
+
+    def asks(self, order: int):
+        """Tokens with a known word or the begin before them; the place of each one's distinct gram; per gram its columns, a token and its bucket."""
+        columns = [self.word]
+        for _ in range(order - 1):
+            before = np.empty_like(self.word)
+            before[1:] = columns[0][:-1]
+            before[self.starts] = 2 if len(columns) == 1 else 0  # the places of BEGIN and NOTHING
+            columns.insert(0, before)
+        tokens = np.flatnonzero(columns[-2] != 1).astype(np.int32)
+        key = composed([columns[c][tokens] for c in [*range(order - 2, -1, -1), order - 1]], len(self.ids))
+        _, first, index = np.unique(key, return_index=True, return_inverse=True)
         del key
-        at, w = np.divmod(pairs, width)
-        h, count, w = self.gram_ids[at], self.gram_counts[at], self.word_ids[w]
-        hot = count >= max(2, self.model[1]["words"].total / HOT)
-        bucket = bucket_of(np.where(hot, pair_key(h, w), h.astype(np.uint64)), self.buckets)
-        order = np.lexsort((w, h, bucket, hot))
-        rank = np.empty(len(order), np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
-        return tokens, tokens[first[order]], rank[index], h[order], w[order], hot[order] * self.buckets + bucket[order]
-
-    def asked(self, level: int) -> pd.DataFrame:
-        tokens, first, index, h, w, place = self.asks(level)
+        grams = np.stack([c[tokens[first]] for c in columns])
+        b = grams[-2]
+        hot = (self.counts[b] >= max(2, BUCKET_BYTES // 8)) | (self.ids[b] == BEGIN)
+        bucket = bucket_of(np.where(hot, pair_key(self.ids[b], self.ids[grams[-1]]), self.ids[b].astype(np.uint64)), self.buckets) + hot * self.buckets
+        by = np.argsort(bucket, kind="stable")
+        rank = np.empty(len(by), np.int32)
+        rank[by] = np.arange(len(by), dtype=np.int32)
+        return tokens, rank[index], grams[:, by], bucket[by]
+
+    def asked(self, order: int) -> pd.DataFrame:
+        tokens, index, grams, place = self.asks(order)
         train = np.repeat(self.rows[2] == 1, self.sizes)
-        own = np.bincount(index, train[tokens], len(first)).astype(np.int64)
-        low = self.p[first]
-        del tokens, index, first, train
-        cells = [
-            cell(level, "ask", self.block, q % self.buckets, q >= self.buckets, a=pack_sorted(h[lo:hi]), b=pack(w[lo:hi]), c=pack(own[lo:hi]), d=pack_values(low[lo:hi]))
-            for q, lo, hi in runs(place)
-        ]
+        own = np.bincount(index, train[tokens], grams.shape[1]).astype(np.int64)
+        del tokens, index, train
+        cells = []
+        for q, lo, hi in runs(place):
+            used, part = np.unique(grams[:, lo:hi], return_inverse=True)
+            cells.append(cell(order, "ask", self.block, q % self.buckets, q >= self.buckets,
+                a=pack_sorted(self.ids[used]), b=pack(self.counts[used]), c=pack(part.ravel().astype(np.int64)), d=pack(own[lo:hi])))
         return frame(cells)
 
-    def rise(self, level: int) -> None:
-        """From the probabilities of level - 1 to those of level."""
-        tokens, _, index, h, _, place = self.asks(level)
-        part = self.replies.get(level)
-        if part is None:
-            return
-        d = self.model[level]["d"]
-        counts = np.concatenate([unpack(x) for x in part.b])
-        below, alpha = np.ones(len(h)), np.ones(len(h))
-        for (q, lo, hi), stat in zip(runs(place), part.c):
-            histories, back = np.unique(h[lo:hi], return_inverse=True)
-            if q >= self.buckets:
-                sums = np.stack([self.model[level]["hot"][x] for x in histories.tolist()], axis=1)
-            else:
-                sums = unpack(stat, np.float64).reshape(K + 2, -1)
-            some = backoff(sums, d)
-            below[lo:hi], alpha[lo:hi] = some[0][back], some[1][back]
-        direct = discounted(counts, d) / below
-        seen = counts > 0
-        self.p[tokens] = np.where(seen[index], direct[index], alpha[index] * self.p[tokens])
-        if len(part.a.iloc[0]):
-            self.gram = np.full(len(self.word), len(counts), np.int32)
-            self.gram[tokens] = index
-            self.gram_ids, self.gram_counts = np.append(np.concatenate([unpack(x) for x in part.a]), UNSEEN), np.append(counts, 0)
-
-    def scores(self) -> pd.DataFrame:
-        words = self.model[1]["words"]
-        base = np.log10((self.word_counts + 0.1) / (words.total + 0.1 * (words.types + 1)))
+    def scores(self, cells: pd.DataFrame, order: int) -> pd.DataFrame:
+        base = np.log10((self.counts + 0.1) / (self.words.total + 0.1 * (self.words.types + 1)))
         with np.errstate(divide="ignore"):
-            score = np.log10(self.p)
+            score = np.log10(self.words.probability(self.counts))[self.word]
+        part = cells[(cells.kind == "reply") & (cells.level > 1)].sort_values(["hot", "bucket"])
+        if len(part):
+            tokens, index, _, _ = self.asks(order)
+            score[tokens] = np.concatenate([unpack_values(x) for x in part.a])[index]
         return pd.DataFrame({
             "doc_id": pd.Series(self.rows[0]).astype("Int64").mask(self.rows[1] == 1),
             "n_tokens": self.sizes,
-            "n_known": np.add.reduceat((self.word_counts > 0)[self.word].astype(np.int64), self.starts),
-            "train_tokens": words.total,
+            "n_known": np.add.reduceat((self.counts > 0)[self.word].astype(np.int64), self.starts),
+            "train_tokens": self.words.total,
             "base_score": np.add.reduceat(base[self.word], self.starts),
             "score": np.add.reduceat(score, self.starts),
         })
@@ -360,24 +450,19 @@ class Block:
 # ---- levels -----------------------------------------------------------------------------------------------------
 
 
-def total_stats(table: DataFrame, level: int) -> np.ndarray:
-    rows = table.where((F.col("level") == level) & (F.col("kind") == "stats")).select("a").collect()
-    return reduce(np.add, [unpack(r.a) for r in rows], np.zeros(K + 3, np.int64))
-
-
-def hot_sums(table: DataFrame, level: int) -> dict[int, np.ndarray]:
-    """The sums of the spread histories, of which there are HOT + 1 at most."""
-    names = [f"s{i}" for i in range(K + 2)]
+def total_stats(table: DataFrame) -> dict[int, np.ndarray]:
+    """Counts of counts, added up on the cluster: K + 3 numbers for each value of ``block``, which holds the level there."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for a, b in zip(part.a, part.b):
-                sums = unpack(b, np.float64).reshape(K + 2, -1)
-                yield pd.DataFrame({"h": unpack(a)} | dict(zip(names, sums)))
+            for level, a in zip(part.block, part.a):
+                yield pd.DataFrame({"level": level, "i": np.arange(K + 3), "n": unpack(a)})
 
-    rows = table.where((F.col("level") == level) & (F.col("kind") == "sums")).select("a", "b")
-    spread = rows.mapInPandas(run, "h long, " + ", ".join(f"{n} double" for n in names))
-    return {r.h: np.array(r[1:]) for r in spread.groupBy("h").agg(*[F.sum(n).alias(n) for n in names]).collect()}
+    each = table.where(F.col("kind") == "stats").select("block", "a").mapInPandas(run, "level long, i int, n long")
+    out: dict[int, np.ndarray] = {}
+    for r in each.groupBy("level", "i").agg(F.sum("n").alias("n")).collect():
+        out.setdefault(r.level, np.zeros(K + 3, np.int64))[r.i] = r.n
+    return out
 
 
 def released(out: pd.DataFrame) -> pd.DataFrame:
@@ -386,21 +471,25 @@ def released(out: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def asking(level: int, model: dict, buckets: int):
-    def ask(cells: pd.DataFrame) -> pd.DataFrame:
-        block = Block(cells, model, buckets)
-        for below in range(2, level):
-            block.rise(below)
-        return released(block.asked(level))
-
-    return ask
+def answers(grams: DataFrame, order: int, model: dict, buckets: int) -> DataFrame:
+    """``reply`` cells of the stored tables; spread ones wait for the totals of their histories."""
 
+    def alone(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for row in part.itertuples():
+                table = read_table(row, order)
+                yield released(replies(row, order, table.probabilities(model, table.sums(model))))
 
-def counting(level: int, buckets: int, last: bool):
-    def count(asked: pd.DataFrame) -> pd.DataFrame:
-        return released(count_grams(asked, level, buckets, last))
+    def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for row in part.itertuples():
+                yield released(history_sums(row, order, model, buckets))
 
-    return count
+    tables = grams.where(F.col("kind") == "table").select(*COLUMNS)
+    spread = tables.where("hot")
+    totals = spread.mapInPandas(sums, CELLS).groupBy("level", "bucket").applyInPandas(lambda x: released(add_sums(x)), CELLS)
+    joined = spread.unionByName(totals).groupBy("bucket").applyInPandas(lambda x: released(with_totals(x, order, model)), CELLS)
+    return tables.where("NOT hot").mapInPandas(alone, CELLS).unionByName(joined)
 
 
 def score(docs: DataFrame, train: Column, order: int = ORDER) -> DataFrame:
@@ -409,28 +498,18 @@ def score(docs: DataFrame, train: Column, order: int = ORDER) -> DataFrame:
     buckets = max(4, -(-size // BUCKET_BYTES))
     first = materialize(tokenised(docs, train, buckets), "katz_blocks", ["kind"])
     blocks = first.where(F.col("kind") == "block").select(*COLUMNS)
-    words = first.where(F.col("kind") == "ask").select(*COLUMNS)
-    tables = [materialize(words.groupBy("bucket").applyInPandas(lambda x: count_words(x, buckets), CELLS), "katz_1", ["kind"]).select(*COLUMNS)]
-    model: dict = {1: {"words": Words(total_stats(tables[0], 1))}}
-
-    def known() -> DataFrame:
-        """Blocks with all replies so far."""
-        return reduce(DataFrame.unionByName, [blocks, *[t.where(F.col("kind") == "reply") for t in tables]])
-
-    for level in range(2, order + 1):
-        asked = known().groupBy("block").applyInPandas(asking(level, dict(model), buckets), CELLS)
-        counted = asked.groupBy("bucket", "hot").applyInPandas(counting(level, buckets, level == order), CELLS)
-        tables.append(materialize(counted, f"katz_{level}", ["kind"]).select(*COLUMNS))
-        model[level] = {"d": discounts(total_stats(tables[-1], level)), "hot": hot_sums(tables[-1], level)}
-
-    def final(cells: pd.DataFrame) -> pd.DataFrame:
-        block = Block(cells, model, buckets)
-        for level in range(2, order + 1):
-            block.rise(level)
-        return released(block.scores())
-
+    asked = first.where(F.col("kind") == "ask").select(*COLUMNS)
+    one = materialize(asked.groupBy("bucket").applyInPandas(lambda x: count_words(x, buckets), CELLS), "katz_1", ["kind"])
+    words = Words(total_stats(one).get(-1, np.zeros(K + 3, np.int64)))
+    known = blocks.unionByName(one.where(F.col("kind") == "reply").select(*COLUMNS))
+    if order > 1:
+        asked = known.groupBy("block").applyInPandas(lambda x: released(Block(x, words, buckets).asked(order)), CELLS)
+        merged = asked.groupBy("bucket", "hot").applyInPandas(lambda x: released(merge_grams(x, order)), CELLS)
+        grams = materialize(merged, "katz_grams", ["kind"])
+        model: dict = {1: {"words": words}} | {k: {"d": discounts(stats)} for k, stats in total_stats(grams).items()}
+        known = known.unionByName(answers(grams, order, model, buckets))
     shape = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return known().groupBy("block").applyInPandas(final, shape)
+    return known.groupBy("block").applyInPandas(lambda x: released(Block(x, words, buckets).scores(x, order)), shape)
 
 
 def held_out_score(docs: DataFrame, order: int = ORDER) -> DataFrame:
