@@ -8,11 +8,11 @@ Work is arranged in blocks of documents and buckets of n-grams. A block is token
 words. It first asks buckets of words for ids and training counts, then sends its distinct n-grams with their own training counts to
 buckets chosen by the last word of the history. Such a bucket holds every shorter gram of its n-grams as well, so one shuffle counts all
 levels: it adds up the blocks' counts and stores one row, the model's table with the places of each block's grams in it. When the
-discounts are known, the stored tables are read bucket by bucket without a shuffle and reply with one probability per gram. A gram
+discounts are known, the stored tables are read bucket by bucket without a shuffle and reply with count and denominator or a probability. A gram
 that was seen has seen shorter grams, so what a history needs from the level below are discounted counts, which add up.
 
-A history ending in a word with more than ``BUCKET_BYTES`` / 8 training tokens, or in the text's begin, is spread over all buckets by the
-word that follows; the sums of its histories go through one more aggregation and back. What stays together at any size is one
+A history ending in a word with more than ``BUCKET_BYTES`` / 8 training tokens, or in the text's begin, is spread over buckets of their
+own by the word that follows; the sums of its histories go through one more aggregation and back. What stays together at any size is one
 pair of words, with one row per block and distinct n-gram. Everything is stored as partitioned tables in the shared folder.
 
 Defined cases: null and empty texts hold one token, their end; a null doc_id counts as the empty id when splitting; repeated rows train and are
@@ -22,6 +22,7 @@ columns are ignored. doc_id is a whole number.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,7 @@ K = 5
 BLOCK_BYTES = 12_000_000
 BUCKET_BYTES = 8_000_000
 FOLDS, HELD_OUT = 10, 0
+HEAVY = 0  # in place of a level: the counts of spread words
 END = np.uint64(0x5BD1E995A1C3F00D)
 NOTHING, UNSEEN, BEGIN, FIRST_ID = -1, 0, 1, 2  # NOTHING stands before the begin
 
@@ -51,7 +53,7 @@ COLUMNS = [x.split()[0] for x in CELLS.split(", ")]
 def pack(x: np.ndarray) -> bytes:
     """Numbers of 8 bytes, by byte planes."""
     x = np.ascontiguousarray(x)
-    return zstandard.ZstdCompressor(level=1).compress(x.view(np.uint8).reshape(-1, 8).T.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(x.view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def unpack(data: bytes, kind=np.int64) -> np.ndarray:
@@ -67,6 +69,28 @@ def unpack_sorted(data: bytes, kind=np.int64) -> np.ndarray:
     return np.cumsum(unpack(data, kind), dtype=kind)
 
 
+def steps(x: np.ndarray) -> np.ndarray:
+    """Differences of neighbours as small numbers that are not negative."""
+    d = np.diff(x.astype(np.int64), prepend=0)
+    return (d << 1) ^ (d >> 63)
+
+
+def from_steps(x: np.ndarray) -> np.ndarray:
+    return np.cumsum((x >> 1) ^ -(x & 1))
+
+
+def pack_grams(grams: np.ndarray, *more: np.ndarray) -> bytes:
+    """Columns of sorted grams, and of what goes with them; all but the last word change little from row to row."""
+    return pack(np.concatenate([*[steps(c) for c in grams[:-1]], grams[-1].astype(np.int64), *more]))
+
+
+def unpack_grams(data: bytes, order: int, more: int = 0) -> np.ndarray:
+    out = unpack(data).reshape(order + more, -1)
+    for column in out[: order - 1]:
+        column[:] = from_steps(column)
+    return out
+
+
 def pack_values(x: np.ndarray) -> bytes:
     """Numbers of which many are equal, as a table of values and places in it."""
     values, place = np.unique(x, return_inverse=True)
@@ -130,7 +154,10 @@ def encoded(block: int, held: list[tuple], buckets: int) -> pa.RecordBatch:
     words, place, index = words[order], place[order], rank[index]
     counts = np.bincount(index, np.repeat(known, sizes), len(words)).astype(np.int64)
     rows = np.stack([ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), known.astype(np.int64), sizes]).astype(np.int64)
-    cells = [cell(0, "block", block, a=pack(index), b=pack(rows.ravel()))]
+    frequent = np.argsort(-np.bincount(index, minlength=len(words)), kind="stable")  # small numbers for frequent words
+    rank = np.empty_like(frequent)
+    rank[frequent] = np.arange(len(frequent))
+    cells = [cell(0, "block", block, a=pack(rank[index]), b=pack(rows.ravel()), c=pack(frequent))]
     for q, lo, hi in runs(place):
         cells.append(cell(1, "ask", block, q, a=pack_sorted(words[lo:hi]), b=pack(counts[lo:hi])))
     return pa.RecordBatch.from_pandas(frame(cells), schema=arrow_schema(), preserve_index=False)
@@ -157,7 +184,7 @@ def count_of_counts(counts: np.ndarray) -> np.ndarray:
     return np.concatenate((np.bincount(seen[seen <= K + 1], minlength=K + 2)[1:], [len(seen), seen.sum()])).astype(np.int64)
 
 
-def count_words(asked: pd.DataFrame, buckets: int) -> pd.DataFrame:
+def count_words(asked: pd.DataFrame, buckets: int, heavy: int) -> pd.DataFrame:
     """Replies (ids, counts) to each block, the word table of the bucket and its counts of counts."""
     bucket = int(asked.bucket.iloc[0])
     lists = [unpack_sorted(a, np.uint64) for a in asked.a]
@@ -166,7 +193,8 @@ def count_words(asked: pd.DataFrame, buckets: int) -> pd.DataFrame:
     ids = identify(counts, bucket, buckets)
     cells = [
         cell(1, "table", -1, bucket, a=pack_sorted(words[counts > 0]), b=pack(ids[counts > 0]), c=pack(counts[counts > 0])),
-        cell(1, "stats", -1, bucket, a=pack(count_of_counts(counts))),
+        cell(1, "stats", 1, bucket, a=pack(count_of_counts(counts))),
+        cell(1, "stats", HEAVY, bucket, a=pack(count_of_counts(counts[counts >= heavy]))),
     ]
     at = 0
     for block, words_asked in zip(asked.block, lists):
@@ -224,7 +252,7 @@ class Table:
         return key.view(np.int64)
 
     def sums(self, model: dict) -> dict:
-        """Per level: rows, place of the gram, discounted count per gram, place of the history, a row of each history, sums per history."""
+        """Per level: rows, their counts, place of the history, a row of each history, sums per history."""
         out, numerator = {}, model[1]["words"].probability(self.word_counts)[self.grams[-1]]
         for k in range(2, self.order + 1):
             rows, index, first, counts = self.level(k)
@@ -236,19 +264,22 @@ class Table:
             own = discounted(counts, model[k]["d"])
             numerator = np.zeros(len(self.counts))
             numerator[rows] = own[index]
-            out[k] = rows, numerator[rows], place, heads, np.stack([np.bincount(back, counts, len(heads)), *few, low])
+            out[k] = rows, counts[index], place, heads, np.stack([np.bincount(back, counts, len(heads)), *few, low])
         return out
 
-    def probabilities(self, model: dict, levels: dict) -> np.ndarray:
-        """P(next word | history) per row."""
+    def probabilities(self, model: dict, levels: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per row the count of the longest gram, its history's denominator, and P(next word | history) where that count is 0."""
         p = model[1]["words"].probability(self.word_counts)[self.grams[-1]]
         below_rows = np.ones(len(self.counts))  # the denominator of the shorter history
-        for k, (rows, numerator, place, heads, sums) in levels.items():
+        top = np.zeros(len(p), np.int64)
+        for k, (rows, counts, place, heads, sums) in levels.items():
             sums = np.concatenate((sums[:-1], sums[-1:] / below_rows[heads]))
             below, alpha = backoff(sums, model[k]["d"])
             below_rows[rows] = below[place]
-            p[rows] = np.where(numerator > 0, numerator / below[place], alpha[place] * p[rows])
-        return p
+            p[rows] = np.where(counts > 0, discounted(counts, model[k]["d"]) / below[place], alpha[place] * p[rows])
+            if k == self.order:
+                top[rows] = counts
+        return top, below_rows.astype(np.int64), p
 
 
 def merge_grams(asked: pd.DataFrame, order: int) -> pd.DataFrame:
@@ -259,7 +290,7 @@ def merge_grams(asked: pd.DataFrame, order: int) -> pd.DataFrame:
     word_counts = np.concatenate([unpack(x) for x in asked.b])[first]
     parts, sizes = [], []
     for own, grams in zip(lists, asked.c):
-        part = unpack(grams).reshape(order, -1)
+        part = unpack_grams(grams, order)
         parts.append(np.searchsorted(ids, own).astype(np.int32)[part])
         sizes.append(part.shape[1])
     grams = np.concatenate(parts, axis=1)
@@ -269,32 +300,41 @@ def merge_grams(asked: pd.DataFrame, order: int) -> pd.DataFrame:
     del key
     counts = np.bincount(index, np.concatenate([unpack(x) for x in asked.d]), len(first)).astype(np.int64)
     table = Table(ids, word_counts, grams[:, first], counts)
-    steps = np.diff(index, prepend=0)  # each block's places go up
+    up = np.diff(index, prepend=0)  # each block's places go up
     starts = np.cumsum(sizes) - sizes
-    steps[starts] = index[starts]
+    up[starts] = index[starts]
     cells = [cell(order, "stats", k, bucket, hot, a=pack(count_of_counts(table.level(k)[3]))) for k in range(2, order + 1)]
-    packed = np.concatenate((np.diff(table.grams[order - 2], prepend=0), *np.delete(table.grams, order - 2, 0), counts))
-    blocks = np.concatenate(([len(sizes)], asked.block.to_numpy(), sizes, steps))
-    cells.append(cell(order, "table", -1, bucket, hot, a=pack_sorted(ids), b=pack(word_counts), c=pack(packed.astype(np.int64)), d=pack(blocks.astype(np.int64))))
+    blocks = np.concatenate(([len(sizes)], asked.block.to_numpy(), sizes, up))
+    cells.append(cell(order, "table", -1, bucket, hot, a=pack_sorted(ids), b=pack(word_counts), c=pack_grams(table.grams, counts), d=pack(blocks.astype(np.int64))))
     return frame(cells)
 
 
 def read_table(row, order: int) -> Table:
-    packed = unpack(row.c).reshape(order + 1, -1)
-    grams = np.insert(packed[1:order], order - 2, np.cumsum(packed[0]), axis=0).astype(np.int32)
-    return Table(unpack_sorted(row.a), unpack(row.b), grams, packed[order])
+    packed = unpack_grams(row.c, order, 1)
+    return Table(unpack_sorted(row.a), unpack(row.b), packed[:order].astype(np.int32), packed[order])
 
 
-def replies(row, order: int, p: np.ndarray) -> pd.DataFrame:
-    """The log10 of the probabilities, to each block in the order of its grams."""
+def replies(row, order: int, answer: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pd.DataFrame:
+    """To each block in the order of its grams: counts, denominators of the seen ones, probabilities of the others."""
     blocks = unpack(row.d)
     n, rest = int(blocks[0]), blocks[1:]
-    names, sizes, steps = rest[:n], rest[n : 2 * n], rest[2 * n :]
-    with np.errstate(divide="ignore"):
-        p = np.log10(p)
-    ends = np.cumsum(sizes)
-    parts = [np.cumsum(steps[e - size : e]) for size, e in zip(sizes, ends)]
-    return frame([cell(order, "reply", int(b), int(row.bucket), bool(row.hot), a=pack_values(p[at])) for b, at in zip(names, parts)])
+    names, sizes, up = rest[:n], rest[n : 2 * n], rest[2 * n :]
+    counts, below, p = answer
+    cells = []
+    for block, size, end in zip(names, sizes, np.cumsum(sizes)):
+        at = np.cumsum(up[end - size : end])
+        seen = counts[at] > 0
+        cells.append(cell(order, "reply", int(block), int(row.bucket), bool(row.hot), a=pack(counts[at]), b=pack(below[at][seen]), c=pack_values(p[at][~seen])))
+    return frame(cells)
+
+
+def replied(part: pd.DataFrame, d: np.ndarray) -> np.ndarray:
+    """The probabilities of replies."""
+    counts = np.concatenate([unpack(x) for x in part.a])
+    p, seen = np.empty(len(counts)), counts > 0
+    p[seen] = discounted(counts[seen], d) / np.concatenate([unpack(x) for x in part.b])
+    p[~seen] = np.concatenate([unpack_values(x) for x in part.c])
+    return p
 
 
 def history_sums(row, order: int, model: dict, buckets: int) -> pd.DataFrame:
@@ -331,8 +371,8 @@ def with_totals(cells: pd.DataFrame, order: int, model: dict) -> pd.DataFrame:
         keys = np.concatenate([unpack(x) for x in part.a])
         totals = np.concatenate([unpack(x, np.float64).reshape(K + 2, -1) for x in part.b], axis=1)
         by = np.argsort(keys)
-        rows, numerator, place, heads, _ = levels[k]
-        levels[k] = rows, numerator, place, heads, totals[:, by[np.searchsorted(keys, table.history_keys(k, heads), sorter=by)]]
+        rows, counts, place, heads, _ = levels[k]
+        levels[k] = rows, counts, place, heads, totals[:, by[np.searchsorted(keys, table.history_keys(k, heads), sorter=by)]]
     return replies(row, order, table.probabilities(model, levels))
 
 
@@ -383,8 +423,8 @@ def backoff(sums: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Block:
     """One block with the replies of the words. Tokens hold 32-bit places in the block's sorted word ids."""
 
-    def __init__(self, cells: pd.DataFrame, words: Words, buckets: int) -> None:
-        self.buckets, self.words = buckets, words
+    def __init__(self, cells: pd.DataFrame, words: Words, heavy: int, alone: int, spread: int) -> None:
+        self.words, self.heavy, self.alone, self.spread = words, heavy, alone, spread
         block = cells[cells.kind == "block"].iloc[0]
         self.block = int(block.block)
         self.rows = unpack(block.b).reshape(4, -1)
@@ -393,7 +433,7 @@ class Block:
         ids, counts = (np.concatenate([unpack(x) for x in column]) for column in (one.a, one.b))
         self.ids, first, place = np.unique(np.concatenate(([NOTHING, UNSEEN, BEGIN], ids)), return_index=True, return_inverse=True)
         self.counts = np.concatenate(([0, 0, 0], counts))[first]  # all unknown words are one
-        self.word = place[3:].astype(np.int32)[unpack(block.a)]
+        self.word = place[3:].astype(np.int32)[unpack(block.c)][unpack(block.a)]
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def asks(self, order: int):
@@ -410,8 +450,8 @@ class Block:
         del key
         grams = np.stack([c[tokens[first]] for c in columns])
         b = grams[-2]
-        hot = (self.counts[b] >= max(2, BUCKET_BYTES // 8)) | (self.ids[b] == BEGIN)
-        bucket = bucket_of(np.where(hot, pair_key(self.ids[b], self.ids[grams[-1]]), self.ids[b].astype(np.uint64)), self.buckets) + hot * self.buckets
+        hot = (self.counts[b] >= self.heavy) | (self.ids[b] == BEGIN)
+        bucket = np.where(hot, self.alone + bucket_of(pair_key(self.ids[b], self.ids[grams[-1]]), self.spread), bucket_of(self.ids[b], self.alone))
         by = np.argsort(bucket, kind="stable")
         rank = np.empty(len(by), np.int32)
         rank[by] = np.arange(len(by), dtype=np.int32)
@@ -425,18 +465,19 @@ class Block:
         cells = []
         for q, lo, hi in runs(place):
             used, part = np.unique(grams[:, lo:hi], return_inverse=True)
-            cells.append(cell(order, "ask", self.block, q % self.buckets, q >= self.buckets,
-                a=pack_sorted(self.ids[used]), b=pack(self.counts[used]), c=pack(part.ravel().astype(np.int64)), d=pack(own[lo:hi])))
+            cells.append(cell(order, "ask", self.block, q, q >= self.alone,
+                a=pack_sorted(self.ids[used]), b=pack(self.counts[used]), c=pack_grams(part.reshape(len(grams), -1)), d=pack(own[lo:hi])))
         return frame(cells)
 
-    def scores(self, cells: pd.DataFrame, order: int) -> pd.DataFrame:
+    def scores(self, cells: pd.DataFrame, order: int, d: np.ndarray) -> pd.DataFrame:
         base = np.log10((self.counts + 0.1) / (self.words.total + 0.1 * (self.words.types + 1)))
         with np.errstate(divide="ignore"):
             score = np.log10(self.words.probability(self.counts))[self.word]
-        part = cells[(cells.kind == "reply") & (cells.level > 1)].sort_values(["hot", "bucket"])
+        part = cells[(cells.kind == "reply") & (cells.level > 1)].sort_values("bucket")
         if len(part):
             tokens, index, _, _ = self.asks(order)
-            score[tokens] = np.concatenate([unpack_values(x) for x in part.a])[index]
+            with np.errstate(divide="ignore"):
+                score[tokens] = np.log10(replied(part, d))[index]
         return pd.DataFrame({
             "doc_id": pd.Series(self.rows[0]).astype("Int64").mask(self.rows[1] == 1),
             "n_tokens": self.sizes,
@@ -496,20 +537,26 @@ def score(docs: DataFrame, train: Column, order: int = ORDER) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) of every row, by the model of the rows where ``train`` holds."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4, -(-size // BUCKET_BYTES))
+    heavy = max(2, BUCKET_BYTES // 8)  # training tokens from which the histories ending in a word are spread
     first = materialize(tokenised(docs, train, buckets), "katz_blocks", ["kind"])
     blocks = first.where(F.col("kind") == "block").select(*COLUMNS)
     asked = first.where(F.col("kind") == "ask").select(*COLUMNS)
-    one = materialize(asked.groupBy("bucket").applyInPandas(lambda x: count_words(x, buckets), CELLS), "katz_1", ["kind"])
-    words = Words(total_stats(one).get(-1, np.zeros(K + 3, np.int64)))
+    one = materialize(asked.groupBy("bucket").applyInPandas(lambda x: count_words(x, buckets, heavy), CELLS), "katz_1", ["kind"])
+    stats = total_stats(one)
+    words = Words(stats.get(1, np.zeros(K + 3, np.int64)))
+    share = stats[HEAVY][-1] / words.total if words.total else 0.0  # of the tokens that follow a spread word
+    alone, spread = max(4, math.ceil(buckets * (1 - share))), max(4, math.ceil(buckets * share))
     known = blocks.unionByName(one.where(F.col("kind") == "reply").select(*COLUMNS))
+    model: dict = {1: {"words": words}}
     if order > 1:
-        asked = known.groupBy("block").applyInPandas(lambda x: released(Block(x, words, buckets).asked(order)), CELLS)
-        merged = asked.groupBy("bucket", "hot").applyInPandas(lambda x: released(merge_grams(x, order)), CELLS)
+        asked = known.groupBy("block").applyInPandas(lambda x: released(Block(x, words, heavy, alone, spread).asked(order)), CELLS)
+        merged = asked.groupBy("bucket").applyInPandas(lambda x: released(merge_grams(x, order)), CELLS)
         grams = materialize(merged, "katz_grams", ["kind"])
-        model: dict = {1: {"words": words}} | {k: {"d": discounts(stats)} for k, stats in total_stats(grams).items()}
-        known = known.unionByName(answers(grams, order, model, buckets))
+        model |= {k: {"d": discounts(n)} for k, n in total_stats(grams).items()}
+        known = known.unionByName(answers(grams, order, model, spread))
     shape = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return known.groupBy("block").applyInPandas(lambda x: released(Block(x, words, buckets).scores(x, order)), shape)
+    d = model.get(order, {}).get("d", np.ones(K + 1))
+    return known.groupBy("block").applyInPandas(lambda x: released(Block(x, words, heavy, alone, spread).scores(x, order, d)), shape)
 
 
 def held_out_score(docs: DataFrame, order: int = ORDER) -> DataFrame:
