@@ -5,7 +5,7 @@ vector within cosine ``APART`` of a pivot already kept is not one. Each vector i
 member of the lists of the first ``HOMES`` of them and asks the lists of all of them, so two vectors meet if a home of either is among
 the nearest pivots of the other; a pair counts only in the smallest list where it meets. Pairs that meet are verified
 by cosine in double precision. Equal vectors are one class with a size beforehand. Long lists are cut into blocks of members and blocks of
-askers, matched in separate tasks. Tasks return link counts per vector and a spanning forest of links, not pairs.
+askers, matched in separate tasks, which first count the pivots that two vectors share: only pairs with ``SHARED`` or more are verified. Tasks return link counts per vector and a spanning forest of links, not pairs.
 
 The index is approximate: a pair that meets in no list is not found. A length with at most ``NEAREST`` pivots (up to ``NEAREST`` times
 ``PIVOT_ROWS`` vectors) is searched in full. The number of pivots is a parameter; by default it grows with the square root of the rows,
@@ -32,12 +32,13 @@ from listingguard.sources.stage import materialize
 
 #: Pivots of a length: at least so many where there are ``PIVOT_ROWS`` vectors for each, at most ``SAMPLE``.
 PIVOTS, PIVOT_ROWS, SAMPLE = 256, 32, 8192
-NEAREST, HOMES = 12, 2
+NEAREST, HOMES, SHARED = 12, 2, 3
 APART = 0.7
 COSINE = 0.9
 MEMBER_BLOCK, ASK_BLOCK = 1024, 2048
 #: Members compared with a block of askers at a time.
 AT_ONCE = 128
+PAIRS_AT_ONCE = 16_384
 
 
 def usable(embedding: str = "embedding"):
@@ -123,19 +124,39 @@ def describe(distinct: DataFrame, points: dict[int, np.ndarray], nearest: int =
     return distinct.select("node", "size", "length", "vector").mapInArrow(run, schema)
 
 
+def shared_pivots(near: np.ndarray, least: int = SHARED):
+    """A function of two sets of rows: their pairs with at least ``least`` pivots in common (all of them, in lists of fewer)."""
+    pivots, place = np.unique(near, return_inverse=True)
+    held = np.zeros((len(near), len(pivots)), np.float32)
+    np.put_along_axis(held, place.reshape(near.shape), 1, axis=1)
+    return lambda a, b: np.nonzero(held[a] @ held[b].T >= min(least, near.shape[1]))
+
+
+def cosines(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of pairs of rows, some at a time."""
+    out = np.empty(len(a))
+    for at in range(0, len(a), PAIRS_AT_ONCE):
+        some = slice(at, at + PAIRS_AT_ONCE)
+        out[some] = np.einsum("ij,ij->i", x[a[some]], x[b[some]])
+    return out
+
+
 def verify(ids: np.ndarray, sizes: np.ndarray, x: np.ndarray, near: np.ndarray, member: np.ndarray, pivot: int, homes: int, cosine: float):
     """Links between the members and the askers of one block, each counted in its smallest list only: (ids, counts, spanning label)."""
     nodes, first, place = np.unique(ids, return_index=True, return_inverse=True)
     sizes = sizes[first]
     counts, label = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
     members, askers = np.flatnonzero(member), np.flatnonzero(~member)
+    candidates = shared_pivots(near)
     for at in range(0, len(members), AT_ONCE):
         mine = members[at : at + AT_ONCE]
-        a, b = np.nonzero(x[mine] @ x[askers].T >= cosine)
+        a, b = candidates(mine, askers)
         a, b = mine[a], askers[b]
         both = (near[b, :homes] == pivot).any(1)  # two members of the list ask each other
         keep = ~both | (ids[a] < ids[b])
         a, b = a[keep], b[keep]
+        linked = cosines(x, a, b) >= cosine
+        a, b = a[linked], b[linked]
         own = np.full(len(a), np.iinfo(np.int32).max, np.int32)
         for p in range(near.shape[1]):
             meets = (near[b, : near.shape[1] if p < homes else homes] == near[a, p, None]).any(1)
