@@ -66,3 +66,12 @@ def test_documents_without_an_id_count_as_one(spark):
     queries = spark.createDataFrame([(1, "red blue")], "q long, text string")
     got = {r["doc_id"]: r["score"] for r in retrieval.scores(docs, queries, ["q"]).collect()}
     assert got == {None: 1.0, 3: 0.5}
+
+
+def test_prompts_read_the_index_they_are_given(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "red stone", "a"), (2, "blue stone", "b")], "doc_id long, text string, source string")
+    talk = spark.createDataFrame([(1, 0, "user", "stone"), (1, 1, "assistant", "which"), (1, 2, "user", "blue")], "conv_id long, turn int, role string, text string")
+    index = retrieval.build_index(docs)
+    monkeypatch.setattr(retrieval, "build_index", None)
+    got = {r["turn"]: r["context"] for r in retrieval.prompt_context(docs, talk, index=index).collect()}
+    assert got[2].startswith("\n[Source 1: b]\nblue stone") and got[0].startswith("\n[Source 1: a]\nred stone")
