@@ -75,3 +75,10 @@ def test_prompts_read_the_index_they_are_given(spark, monkeypatch):
     monkeypatch.setattr(retrieval, "build_index", None)
     got = {r["turn"]: r["context"] for r in retrieval.prompt_context(docs, talk, index=index).collect()}
     assert got[2].startswith("\n[Source 1: b]\nblue stone") and got[0].startswith("\n[Source 1: a]\nred stone")
+
+
+def test_a_repeated_key_counts_its_terms_for_each_query(spark):
+    docs = spark.createDataFrame([(1, "red stone"), (2, "red"), (3, "blue")], "doc_id long, text string")
+    queries = spark.createDataFrame([(1, "red stone"), (1, "red stone"), (None, "blue"), (2, "blue")], "q long, text string")
+    got = {(r["q"], r["rank"]): (r["doc_id"], r["score"]) for r in retrieval.best_scores(docs, queries, ["q"], 2).collect()}
+    assert got == {(1, 1): (1, 2.0), (1, 2): (2, 1.0), (None, 1): (3, 1.0), (2, 1): (3, 1.0)}
